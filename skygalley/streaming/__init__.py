@@ -1,0 +1 @@
+"""The covered workload is batch only: it has no stream source, watermark or stateful operator."""
