@@ -1,6 +1,9 @@
 """Column functions: Column in, Column out, all built from JVM-side expressions."""
 
 from skygalley.functions.dates import (
+    date_from_iso,
+    date_from_short,
+    date_from_slashes,
     date_spine,
     date_to_key,
     day_from_date,
@@ -34,6 +37,9 @@ __all__ = [
     "anonymize_flight",
     "bucket",
     "concat_text",
+    "date_from_iso",
+    "date_from_short",
+    "date_from_slashes",
     "date_spine",
     "date_to_key",
     "day_from_date",

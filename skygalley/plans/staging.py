@@ -1,6 +1,8 @@
-"""Staging: one function per raw dataset; rename, convert, drop unusable rows and copies.
+"""Staging: one function per raw dataset; drop unusable rows, rename, convert, drop copies.
 
-The unusable rows go before ``distinct``: what is dropped is not shuffled.
+Missing and negative values are tested on the raw columns: a conversion never turns a value into a
+null (it raises), so the result is the same and Spark can push the tests into the Parquet scan. The
+unusable rows go before ``distinct``: what is dropped is not shuffled.
 """
 
 from __future__ import annotations
@@ -9,15 +11,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygalley.config import WarehouseConfig
-from skygalley.functions import anonymize_flight, or_unknown, to_time
+from skygalley.functions import (
+    anonymize_flight,
+    date_from_iso,
+    date_from_short,
+    date_from_slashes,
+    or_unknown,
+    to_time,
+)
 from skygalley.operators.cleaning import date_window, distinct_rows, non_negative, required
 from skygalley.operators.joins import with_lookup
 
 MONEY = "decimal(18,2)"
 
 
-def _part(column: str | Column, separator: str, position: int) -> Column:
-    text = F.col(column) if isinstance(column, str) else column
+def _part(text: Column, separator: str, position: int) -> Column:
     return F.split_part(text, F.lit(separator), F.lit(position))
 
 
@@ -30,22 +38,23 @@ def _currency(df: DataFrame, currencies: DataFrame, out: str = "currency_id") ->
     return with_lookup(df, F.col("currency"), currencies, "currency_code", "currency_id", out)
 
 
-def _finish(df: DataFrame, needed: list[str], cfg: WarehouseConfig) -> DataFrame:
-    return distinct_rows(date_window(required(df, needed), cfg.start_date, cfg.end_date))
+def _in_window(df: DataFrame, cfg: WarehouseConfig) -> DataFrame:
+    return date_window(df, cfg.start_date, cfg.end_date)
 
 
 def stg_bank(raw: DataFrame) -> DataFrame:
-    df = raw.select(
+    df = required(raw, ["bin"]).select(
         F.col("bin").alias("card_number_prefix"),
         *[or_unknown(F.col(c)).alias(c) for c in ("brand", "type", "category", "issuer")],
         or_unknown(F.col("alpha_3")).alias("country_short"),
         or_unknown(F.col("country")).alias("country"),
     )
-    return distinct_rows(required(df, ["card_number_prefix"]))
+    return distinct_rows(df)
 
 
 def stg_catalog(raw: DataFrame) -> DataFrame:
-    df = raw.select(
+    priced = required(raw, ["reference", "family", "selling_price"])
+    df = priced.where(F.col("selling_price") > 0).select(
         F.col("reference").alias("item_id"),
         or_unknown(F.col("status")).alias("status"),
         F.col("family").alias("item_category"),
@@ -53,68 +62,78 @@ def stg_catalog(raw: DataFrame) -> DataFrame:
         or_unknown(F.col("type")).alias("item_type"),
         F.col("selling_price").cast(MONEY).alias("price"),
     )
-    return distinct_rows(required(df, ["item_id", "item_category", "price"]).where("price > 0"))
+    return distinct_rows(df)
 
 
 def stg_items_load(raw: DataFrame, cfg: WarehouseConfig) -> DataFrame:
-    df = raw.select(
+    raw = required(raw, ["flight_number", "departure_date", "order_num", "item_reference"])
+    df = non_negative(raw, ["total_qty_loaded"]).select(
         anonymize_flight(F.col("flight_number")).alias("flight_no"),
-        F.to_date(_part("departure_date", " ", 1), "yyyy/MM/dd").alias("date"),
-        to_time(_part("departure_date", " ", 2)).alias("time"),
+        date_from_slashes(F.col("departure_date")).alias("date"),
+        to_time(_part(F.col("departure_date"), " ", 2)).alias("time"),
         F.col("order_num").alias("load_id"),
         F.col("item_reference").alias("item_id"),
         F.col("total_qty_loaded").alias("total_loaded_quantity"),
     )
-    needed = ["flight_no", "date", "time", "load_id", "item_id", "total_loaded_quantity"]
-    return _finish(non_negative(df, ["total_loaded_quantity"]), needed, cfg)
+    return distinct_rows(_in_window(df, cfg))
 
 
-def _lines(raw: DataFrame, cities: DataFrame, date: Column, time: Column, cfg: WarehouseConfig) -> DataFrame:
+def _lines(raw: DataFrame, cities: DataFrame, stamp: str, time: Column, cfg: WarehouseConfig) -> DataFrame:
+    raw = required(raw, ["line_id", "flight_no", stamp])
     df = _cities(raw, cities, F.col("iata_departure"), F.col("iata_destination")).select(
         "line_id",
         anonymize_flight(F.col("flight_no")).alias("flight_no"),
         "origin",
         "destination",
-        date.alias("date"),
-        time.alias("time"),
+        date_from_iso(F.col(stamp)).alias("date"),
+        to_time(time).alias("time"),
         F.col("order_no").alias("load_id"),
     )
-    return _finish(df, ["line_id", "flight_no", "date"], cfg)
+    return distinct_rows(_in_window(df, cfg))
 
 
 def stg_line(raw: DataFrame, cities: DataFrame, cfg: WarehouseConfig) -> DataFrame:
     """The day ends at a ``T`` or a blank; the time is read only after a blank, else it is missing."""
-    stamp = F.col("scheduled_datetime_utc")
-    day = _part(_part(stamp, "T", 1), " ", 1)
-    clock = F.nullif(_part(stamp, " ", 2), F.lit(""))
-    return _lines(raw, cities, day.cast("date"), to_time(clock), cfg)
+    stamp = "scheduled_datetime_utc"
+    return _lines(raw, cities, stamp, F.nullif(_part(F.col(stamp), " ", 2), F.lit("")), cfg)
 
 
 def stg_schedule(raw: DataFrame, cities: DataFrame, cfg: WarehouseConfig) -> DataFrame:
-    stamp = F.col("scheduled_datetime")
-    day = F.to_date(_part(stamp, " ", 1), "yyyy-MM-dd")
-    return _lines(raw, cities, day, to_time(_part(stamp, " ", 2)), cfg)
+    stamp = "scheduled_datetime"
+    return _lines(raw, cities, stamp, _part(F.col(stamp), " ", 2), cfg)
 
 
 def stg_pax(raw: DataFrame, cities: DataFrame, cfg: WarehouseConfig) -> DataFrame:
+    raw = non_negative(required(raw, ["flight_number", "scheduled_date"]), ["pax"])
     ends = raw.withColumnsRenamed({"origin": "origin_raw", "destination": "destination_raw"})
     df = _cities(ends, cities, F.col("origin_raw"), F.col("destination_raw")).select(
         anonymize_flight(F.col("flight_number")).alias("flight_no"),
-        F.to_date("scheduled_date", "dd/MM/yy").alias("date"),
+        date_from_short(F.col("scheduled_date")).alias("date"),
         to_time(F.col("scheduled_time")).alias("time"),
         "origin",
         "destination",
         "class",
         F.col("pax").cast("int").alias("pax_quantity"),
     )
-    return _finish(non_negative(df, ["pax_quantity"]), ["flight_no", "date"], cfg)
+    return distinct_rows(_in_window(df, cfg))
 
 
 def stg_payments(
     raw: DataFrame, cities: DataFrame, currencies: DataFrame, cfg: WarehouseConfig
 ) -> DataFrame:
     """Both currency columns follow the transaction currency, as in the published tables."""
-    df = _cities(raw, cities, F.col("flight_origin"), F.col("flight_destination"))
+    needed = [
+        "session_no",
+        "order_no",
+        "ticket_id",
+        "flight_no",
+        "sales_type",
+        "payment_type",
+        "amount_tendered",
+        "amount_tendered_main",
+    ]
+    df = required(raw, needed)
+    df = _cities(df, cities, F.col("flight_origin"), F.col("flight_destination"))
     df = _currency(df, currencies).select(
         F.substr("session_no", F.lit(8)).alias("session_id"),
         F.col("order_no").alias("load_id"),
@@ -122,8 +141,8 @@ def stg_payments(
         anonymize_flight(F.col("flight_no")).alias("flight_no"),
         "origin",
         "destination",
-        _part("scheduled_date", "T", 1).cast("date").alias("date"),
-        to_time(_part("scheduled_date", "T", 2)).alias("time"),
+        date_from_iso(F.col("scheduled_date")).alias("date"),
+        to_time(_part(F.col("scheduled_date"), "T", 2)).alias("time"),
         F.coalesce(F.col("offline").cast("boolean"), F.lit(False)).alias("is_offline_mode"),
         "sales_type",
         "payment_type",
@@ -134,31 +153,36 @@ def stg_payments(
         F.substring("card_digits", 1, 6).alias("card_number_prefix"),
         "card_type",
     )
-    needed = [
-        "session_id",
-        "load_id",
-        "slip_id",
-        "flight_no",
-        "sales_type",
-        "payment_type",
-        "purchase_amount",
-        "purchase_amount_main",
-    ]
-    return _finish(df, needed, cfg)
+    return distinct_rows(_in_window(df, cfg))
 
 
 def stg_sales(
     raw: DataFrame, cities: DataFrame, currencies: DataFrame, cfg: WarehouseConfig
 ) -> DataFrame:
-    df = _cities(raw, cities, F.col("flight_origin"), F.col("flight_destination"))
+    needed = [
+        "session_no",
+        "order_no",
+        "flight_no",
+        "scheduled_date",
+        "ticket_id",
+        "sales_type",
+        "item_reference",
+        "qty_sold",
+        "sale_amount",
+    ]
+    # a missing price or discount counts as zero
+    fits = F.coalesce("item_price", F.lit(0)) >= 0
+    fits &= F.coalesce("promotion_discount", F.lit(0)) >= 0
+    df = required(raw, needed).where(fits)
+    df = _cities(df, cities, F.col("flight_origin"), F.col("flight_destination"))
     df = _currency(df, currencies).select(
         F.substr("session_no", F.lit(8)).alias("session_id"),
         F.col("order_no").alias("load_id"),
         anonymize_flight(F.col("flight_no")).alias("flight_no"),
         "origin",
         "destination",
-        _part("scheduled_date", "T", 1).cast("date").alias("date"),
-        to_time(_part("scheduled_date", "T", 2)).alias("time"),
+        date_from_iso(F.col("scheduled_date")).alias("date"),
+        to_time(_part(F.col("scheduled_date"), "T", 2)).alias("time"),
         F.col("ticket_id").alias("slip_id"),
         "sales_type",
         F.col("currency_id").alias("currency"),
@@ -169,28 +193,19 @@ def stg_sales(
         F.col("sale_amount").cast(MONEY).alias("purchase_amount"),
         F.coalesce("promotion_discount", F.lit(0)).cast(MONEY).alias("discount_amount"),
     )
-    needed = [
-        "session_id",
-        "load_id",
-        "flight_no",
-        "date",
-        "slip_id",
-        "sales_type",
-        "item_id",
-        "sold_quantity",
-        "purchase_amount",
-    ]
-    return _finish(non_negative(df, ["price", "discount_amount"]), needed, cfg)
+    return distinct_rows(_in_window(df, cfg))
 
 
 def stg_wastage(raw: DataFrame, cities: DataFrame, cfg: WarehouseConfig) -> DataFrame:
+    raw = required(raw, ["order_no", "flight_no", "scheduled_date", "item_reference"])
+    raw = non_negative(raw, ["ordered_qty", "sold_qty", "damaged_waste_qty", "qty_fresh_waste"])
     route = F.col("scheduled_route")
     df = _cities(raw, cities, _part(route, "-", 1), _part(route, "-", 2)).select(
         F.col("order_no").alias("load_id"),
         anonymize_flight(F.col("flight_no")).alias("flight_no"),
         "origin",
         "destination",
-        F.to_date("scheduled_date", "dd/MM/yy").alias("date"),
+        date_from_short(F.col("scheduled_date")).alias("date"),
         or_unknown(F.col("item_category")).alias("item_category"),
         F.col("item_reference").alias("item_id"),
         or_unknown(F.col("item_type")).alias("item_type"),
@@ -199,5 +214,4 @@ def stg_wastage(raw: DataFrame, cities: DataFrame, cfg: WarehouseConfig) -> Data
         F.col("damaged_waste_qty").cast("int").alias("wastage_quantity"),
         F.col("qty_fresh_waste").cast("int").alias("fresh_wastage_quantity"),
     )
-    counts = ["load_quantity", "sold_quantity", "wastage_quantity", "fresh_wastage_quantity"]
-    return _finish(non_negative(df, counts), ["load_id", "flight_no", "date", "item_id"], cfg)
+    return distinct_rows(_in_window(df, cfg))

@@ -8,7 +8,7 @@ a hot flight, and the md5 keys are computed on the reduced rows only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -517,7 +517,7 @@ class Warehouse:
     def __init__(
         self,
         spark: SparkSession,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         config: WarehouseConfig | None = None,
         root: str | None = None,
     ):

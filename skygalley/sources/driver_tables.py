@@ -7,9 +7,12 @@ Spark fills in DataFrames, the SQL check fills in view names.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skygalley.sources.sinks import overwrite
+
 TABLES = ("region", "nation", "part", "orders", "lineitem")
 
 FIXTURES: dict[str, str] = {
@@ -116,11 +119,30 @@ def inputs_of(text: str) -> list[str]:
 
 
 class DriverTables:
-    """Lazy access to the tables of one folder and to the datasets derived from them."""
+    """The tables of one folder and the raw datasets derived from them.
+
+    With ``root`` each raw dataset is landed once as a Parquet table, the way raw extracts are loaded
+    before anything reads them; staging then prunes columns and pushes filters into those files.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    RAW = (
+        "sales",
+        "payments",
+        "bank",
+        "pax",
+        "schedule",
+        "line_load",
+        "items_load",
+        "wastage",
+        "product_catalog",
+        "cities",
+        "currencies",
+    )
+
+    def __init__(self, spark: SparkSession, folder: str, root: str | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.root = root.rstrip("/") if root else None
         self._derived: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -132,22 +154,28 @@ class DriverTables:
             frames = {
                 i: self.fixture(i) if i in FIXTURES else self.table(i) for i in inputs_of(text)
             }
-            self._derived[name] = self.spark.sql(text, **frames)
+            df = self.spark.sql(text, **frames)
+            if self.root and name.removeprefix("fx_") in self.RAW:
+                df = overwrite(df, f"{self.root}/raw/{name.removeprefix('fx_')}")
+            self._derived[name] = df
         return self._derived[name]
 
-    def raw(self) -> dict[str, DataFrame]:
-        """The raw datasets and seeds under the names the warehouse expects."""
-        names = (
-            "sales",
-            "payments",
-            "bank",
-            "pax",
-            "schedule",
-            "line_load",
-            "items_load",
-            "wastage",
-            "product_catalog",
-            "cities",
-            "currencies",
-        )
-        return {n: self.fixture(f"fx_{n}") for n in names}
+    def raw(self) -> Mapping[str, DataFrame]:
+        """The raw datasets and seeds under the names the warehouse expects, landed on first use."""
+        return _OnDemand(self)
+
+
+class _OnDemand(Mapping):
+    def __init__(self, tables: DriverTables):
+        self._tables = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in DriverTables.RAW:
+            raise KeyError(name)
+        return self._tables.fixture(f"fx_{name}")
+
+    def __iter__(self):
+        return iter(DriverTables.RAW)
+
+    def __len__(self) -> int:
+        return len(DriverTables.RAW)
