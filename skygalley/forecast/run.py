@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,8 @@ from skygalley.forecast.models import TwoStageModel, decide, feature_importance,
 from skygalley.forecast.preparation import build_features, clean_data, hist_lookup, validate
 from skygalley.sources.sinks import append_or_replace, overwrite
 
+log = logging.getLogger(__name__)
+
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -22,10 +26,16 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def run_forecast(
-    mart: DataFrame, root: str, version: str, cfg: ForecastConfig | None = None
+    mart: DataFrame,
+    root: str,
+    version: str,
+    cfg: ForecastConfig | None = None,
+    raise_on_degradation: bool = False,
 ) -> TwoStageModel:
     """Train, evaluate at every threshold and store the results under ``root``.
 
+    Results of a degraded model are logged and not stored, so the last good run stays the latest.
+
     The feature table is written once: training reads it many times, and a lost executor then costs
     a re-read and not a rebuild of the warehouse.
     """
@@ -49,7 +59,10 @@ def run_forecast(
             previous, metrics.first()["accuracy"], cfg.degradation_threshold
         )
         if degraded:
-            raise ModelDegradationError(message)
+            if raise_on_degradation:
+                raise ModelDegradationError(message)
+            log.critical("%s: results of %s not stored. %s", threshold_type, version, message)
+            continue
         ev.store_run(
             root,
             ev.next_run_id(_stored(spark, f"{root}/model_runs")),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,8 @@ from skygalley.config import UNKNOWN
 from skygalley.functions import date_spine, date_to_key, is_weekend, pipe_md5, weekday_name
 from skygalley.operators.cleaning import distinct_rows, first_per_key, non_negative
 from skygalley.operators.joins import fill_from_first, join_null_safe, map_key, only_in_left
+from skygalley.plans.warehouse import Warehouse
+from skygalley.sources.sinks import overwrite
 
 FLIGHT_KEY = ["flight_no", "date", "time", "origin", "destination"]
 
@@ -87,9 +92,10 @@ def dim_session(payments: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """Weekdays count from 0 here; ``end`` is left out as in every date spine."""
+    """Weekdays count from 0 here, and both ends are included."""
     date = F.col("date")
-    return date_spine(spark, start, end).select(
+    after = (datetime.date.fromisoformat(end) + datetime.timedelta(days=1)).isoformat()
+    return date_spine(spark, start, after).select(
         "date",
         date_to_key(date).alias("date_sur_id"),
         F.year(date).alias("year"),
@@ -164,3 +170,48 @@ def fact_wastage(wastage: DataFrame, flights: DataFrame, products: DataFrame) ->
     df = map_key(df, products, "item_id", "product_sur_id", "item_key")
     df = distinct_rows(df.select("flight_key", _date_key(), "item_key", *counts))
     return df.withColumn("wastage_sur_id", pipe_md5("flight_key", "item_key", "date_key", *counts))
+
+
+class LegacyWarehouse:
+    """Wires the older star schema to the staging models of a warehouse.
+
+    Dimensions are written once when ``root`` is given: the facts map keys against all of them.
+    """
+
+    def __init__(self, warehouse: Warehouse, start: str, end: str, root: str | None = None):
+        self.wh = warehouse
+        self.start, self.end = start, end
+        self.root = root.rstrip("/") if root else None
+        self._refs: dict[str, DataFrame] = {}
+
+    def _builders(self) -> dict[str, Callable[[], DataFrame]]:
+        stg, ref = self.wh.ref, self.ref
+        sales = lambda: staged_sales(stg("stg_sales"))
+        wastage = lambda: staged_wastage(stg("stg_wastage"), stg("stg_schedule"))
+        return {
+            "dim_product": lambda: dim_product(stg("stg_catalog"), sales(), wastage()),
+            "dim_flight": lambda: dim_flight(
+                stg("stg_schedule"), [sales(), stg("stg_payments"), stg("stg_pax"), wastage()]
+            ),
+            "dim_date": lambda: dim_date(self.wh.spark, self.start, self.end),
+            "dim_load": lambda: dim_load(stg("stg_schedule")),
+            "dim_card": lambda: dim_card(stg("stg_payments"), stg("stg_bank")),
+            "dim_session": lambda: dim_session(stg("stg_payments"), sales()),
+            "fact_pax": lambda: fact_pax(stg("stg_pax"), ref("dim_flight")),
+            "fact_payment": lambda: fact_payment(
+                stg("stg_payments"), ref("dim_flight"), ref("dim_session"), ref("dim_card")
+            ),
+            "fact_sales": lambda: fact_sales(
+                sales(), ref("dim_flight"), ref("dim_session"), ref("dim_product")
+            ),
+            "fact_wastage": lambda: fact_wastage(wastage(), ref("dim_flight"), ref("dim_product")),
+        }
+
+    def model(self, name: str) -> DataFrame:
+        return self._builders()[name]()
+
+    def ref(self, name: str) -> DataFrame:
+        if name not in self._refs:
+            df = self.model(name)
+            self._refs[name] = overwrite(df, f"{self.root}/{name}") if self.root else df
+        return self._refs[name]
