@@ -6,7 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import (
+    SQLTransformer,
+    StandardScaler,
+    StringIndexer,
+    TargetEncoder,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
@@ -47,6 +53,10 @@ def _encoding(cfg: ForecastConfig, target_type: str, label: str) -> list:
     """Categories as smoothed target means: any number of items or routes, no bins per category."""
     indexed = [f"{c}_idx" for c in cfg.categorical]
     encoded = [f"{c}_enc" for c in cfg.categorical]
+    # The encoder leaves the category marks of its input on its output; a sum drops them, so that
+    # the trees take the means as numbers and need no bin per category.
+    numbers = ", ".join(f"{c}_enc + 0D AS {c}_mean" for c in cfg.categorical)
+    means = [f"{c}_mean" for c in cfg.categorical]
     return [
         StringIndexer(inputCols=list(cfg.categorical), outputCols=indexed, handleInvalid="keep"),
         TargetEncoder(
@@ -57,8 +67,9 @@ def _encoding(cfg: ForecastConfig, target_type: str, label: str) -> list:
             smoothing=1.0,
             handleInvalid="keep",
         ),
+        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
         VectorAssembler(
-            inputCols=[*encoded, *[f"{c}_num" for c in cfg.numerical]], outputCol="features"
+            inputCols=[*means, *[f"{c}_num" for c in cfg.numerical]], outputCol="features"
         ),
     ]
 

@@ -16,7 +16,16 @@ from skygalley.sources.driver_tables import DriverTables
 
 # A stated end keeps the calendar, and so the results, the same on every day.
 CALENDAR_END = "2027-01-01"
-MODULES = ("tables", "cleaning", "relational", "scalars", "metrics")
+MODULES = (
+    "tables",
+    "cleaning",
+    "relational",
+    "scalars",
+    "metrics",
+    "checks",
+    "forecast",
+    "explore",
+)
 
 
 class Lab:
