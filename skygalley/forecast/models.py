@@ -84,7 +84,6 @@ def _boosting(kind: type, cfg: BoostingConfig, label: str):
         seed=cfg.random_seed,
         # cut the lineage of the growing ensemble in the shared checkpoint folder
         checkpointInterval=10,
-        cacheNodeIds=True,
     )
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 from pathlib import Path
 
 import duckdb
 
+# With STRICT=1 numbers must agree to the last digit.
+STRICT = os.environ.get("STRICT") == "1"
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
@@ -23,7 +26,7 @@ def plain_value(v):
     if isinstance(v, float) and math.isnan(v):
         return "nan"
     if isinstance(v, (int, float, decimal.Decimal)):
-        return float(f"{float(v):.12g}")
+        return float(v) if STRICT else float(f"{float(v):.12g}")
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, datetime.date):
