@@ -36,13 +36,14 @@ def run_forecast(
 
     Results of a degraded model are logged and not stored, so the last good run stays the latest.
 
-    The feature table is written once: training reads it many times, and a lost executor then costs
-    a re-read and not a rebuild of the warehouse.
+    The cleaned rows and the features are written once: later steps read both many times, and a lost
+    executor then costs a re-read and not a rebuild of the warehouse.
     """
     cfg = cfg or ForecastConfig()
     spark = mart.sparkSession
     root = root.rstrip("/")
-    features = overwrite(build_features(clean_data(mart), cfg), f"{root}/features")
+    clean = overwrite(clean_data(mart), f"{root}/clean")
+    features = overwrite(build_features(clean, cfg), f"{root}/features")
     append_or_replace(hist_lookup(features), root, "lookup_hist_avg")
     validate(features, cfg)
     model = fit_two_stage(features, cfg)

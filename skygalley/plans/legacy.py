@@ -36,15 +36,18 @@ def dim_product(catalog: DataFrame, sales: DataFrame, wastage: DataFrame) -> Dat
     known = first_per_key(catalog.select(*columns), ["item_id"], order)
     seen = (
         sales.select("item_id", "item_category")
+        .distinct()
         .withColumn("place", F.lit(1))
         .unionByName(
-            wastage.select("item_id", "item_category", "item_type").withColumn("place", F.lit(2)),
+            wastage.select("item_id", "item_category", "item_type")
+            .distinct()
+            .withColumn("place", F.lit(2)),
             allowMissingColumns=True,
         )
     )
     # sales before wastage, then by name: one stated choice among many rows of an item
     order = [F.col("place"), F.asc_nulls_last("item_category"), F.asc_nulls_last("item_type")]
-    inferred = only_in_left(first_per_key(seen.distinct(), ["item_id"], order), known, ["item_id"])
+    inferred = only_in_left(first_per_key(seen, ["item_id"], order), known, ["item_id"])
     inferred = inferred.drop("place").withColumn("source", F.lit(UNKNOWN))
     both = known.unionByName(inferred, allowMissingColumns=True)
     return both.withColumn("product_sur_id", pipe_md5("item_id"))
@@ -82,9 +85,8 @@ def dim_card(payments: DataFrame, bank: DataFrame) -> DataFrame:
 
 def dim_session(payments: DataFrame, sales: DataFrame) -> DataFrame:
     """Unlike the newer dimension an unknown mode is False."""
-    seen = payments.select("session_id", "is_offline_mode").unionByName(
-        sales.select("session_id"), allowMissingColumns=True
-    )
+    seen = payments.select("session_id", "is_offline_mode").distinct()
+    seen = seen.unionByName(sales.select("session_id").distinct(), allowMissingColumns=True)
     sessions = seen.groupBy("session_id").agg(
         F.coalesce(F.max("is_offline_mode"), F.lit(False)).alias("is_offline_mode")
     )
@@ -207,6 +209,10 @@ class LegacyWarehouse:
             "fact_wastage": lambda: fact_wastage(wastage(), ref("dim_flight"), ref("dim_product")),
         }
 
+    @property
+    def names(self) -> list[str]:
+        return list(self._builders())
+
     def model(self, name: str) -> DataFrame:
         return self._builders()[name]()
 

@@ -187,9 +187,15 @@ def dim_products(catalog: DataFrame) -> DataFrame:
 
 
 def dim_sessions(payments: DataFrame, sales: DataFrame) -> DataFrame:
-    """True beats false beats unknown, which is what a maximum over booleans gives."""
-    both = payments.select("session_id", "is_offline_mode").unionByName(
-        sales.select("session_id", F.lit(None).cast("boolean").alias("is_offline_mode"))
+    """True beats false beats unknown, which is what a maximum over booleans gives.
+
+    Distinct pairs before the union: the optimizer then drops the whole-row distinct of staging.
+    """
+    unknown = F.lit(None).cast("boolean").alias("is_offline_mode")
+    both = (
+        payments.select("session_id", "is_offline_mode")
+        .distinct()
+        .unionByName(sales.select("session_id").distinct().select("session_id", unknown))
     )
     return both.groupBy(F.col("session_id").alias("sales_session_id")).agg(
         F.max("is_offline_mode").alias("is_offline_mode")
@@ -386,13 +392,18 @@ def mart_fresh_food_order_sale(
         .join(flight_pax, "flight_key", "left")
         .join(number_pax, "flight_number", "left")
     )
-    # fresh items first: the large load fact shrinks before it meets the flights
+    # fresh items first: both large facts shrink before they are shuffled
+    fresh = fresh_products(products).select("product_key", "item_id", "category", "price")
     loaded = (
         items_load.where("potential_error is null")
         .select("load_id", "product_key")
-        .join(fresh_products(products).select("product_key", "item_id", "category", "price"), "product_key")
+        .join(fresh, "product_key")
+    )
+    sold = (
+        sales.join(fresh, "product_key", "left_semi")
+        .groupBy("flight_key", "product_key")
+        .agg(F.sum("sold_quantity").alias("sold_quantity"))
     )
-    sold = sales.groupBy("flight_key", "product_key").agg(F.sum("sold_quantity").alias("sold_quantity"))
     guests = F.coalesce("total_passengers", "avg_passengers")
     return (
         flown.join(loaded, "load_id")

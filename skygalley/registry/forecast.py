@@ -28,7 +28,10 @@ def mart(lab: Lab) -> DataFrame:
 
 
 def cleaned(lab: Lab) -> DataFrame:
-    return preparation.without_errors(mart(lab))
+    """Written once: the features read it twice."""
+    return lab.keep(
+        "clean", lambda: overwrite(preparation.without_errors(mart(lab)), f"{lab.root}/clean")
+    )
 
 
 def features(lab: Lab) -> DataFrame:

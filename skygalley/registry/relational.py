@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skygalley.functions import or_unknown, ratio
-from skygalley.operators import joins
+from skygalley.operators import joins, windows
 from skygalley.operators.cleaning import first_per_key
 from skygalley.plans import warehouse
 from skygalley.plans.semantic import metric_query
@@ -332,12 +331,9 @@ def _session(lab: Lab):
 
 @query("win_line_seq", "SELECT line_id, flight_no, date, time, CAST(rn AS INTEGER) AS rn FROM line_ordered")
 def _seq(lab: Lab):
-    order = Window.partitionBy("line_id").orderBy(
-        "date", F.asc_nulls_last("time"), "flight_no", "origin", "destination"
-    )
-    return lab.wh.ref("stg_line").select(
-        "line_id", "flight_no", "date", "time", F.row_number().over(order).alias("rn")
-    )
+    then = [F.asc_nulls_last("time"), "flight_no", "origin", "destination"]
+    out = windows.with_sequence(lab.wh.ref("stg_line"), ["line_id"], "date", then, "rn")
+    return out.select("line_id", "flight_no", "date", "time", "rn")
 
 
 @query(
@@ -345,9 +341,8 @@ def _seq(lab: Lab):
     "SELECT line_id, flight_no, date, max(load_id) OVER (PARTITION BY line_id) AS load_id FROM stg_schedule",
 )
 def _partition_max(lab: Lab):
-    schedule = lab.wh.ref("stg_schedule")
-    top = F.max("load_id").over(Window.partitionBy("line_id"))
-    return schedule.select("line_id", "flight_no", "date", top.alias("load_id"))
+    schedule = lab.wh.ref("stg_schedule").select("line_id", "flight_no", "date", "load_id")
+    return windows.with_group_max(schedule, ["line_id"], "load_id", "load_id")
 
 
 # --- sorts, limits, unions ------------------------------------------------------------------------
