@@ -11,7 +11,7 @@ from skygalley.config import ForecastConfig, WarehouseConfig
 from skygalley.plans.legacy import LegacyWarehouse
 from skygalley.plans.warehouse import Warehouse
 from skygalley.registry.oracle import compose
-from skygalley.session import new_table_root
+from skygalley.session import new_table_root, tune
 from skygalley.sources.driver_tables import DriverTables
 
 # A stated end keeps the calendar, and so the results, the same on every day.
@@ -32,6 +32,7 @@ class Lab:
     """One folder of test tables with its warehouse, shared by all queries of a session."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        tune(spark)
         self.spark = spark
         self.root = new_table_root(spark)
         self.tables = DriverTables(spark, folder, self.root)

@@ -23,9 +23,20 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Runtime settings for wide projections; settings made by the user stay as they are.
+
+    HotSpot never compiles a method above 8000 bytes of bytecode, so a fused stage that grows past
+    it runs interpreted. Below this limit Spark runs such a stage operator by operator, compiled.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -152,7 +152,7 @@ class DriverTables:
         if name not in self._derived:
             text = FIXTURES[name]
             frames = {
-                i: self.fixture(i) if i in FIXTURES else self.table(i) for i in inputs_of(text)
+                i: self.fixture(i) if i in FIXTURES else self._spread(i) for i in inputs_of(text)
             }
             df = self.spark.sql(text, **frames)
             if self.root and name.removeprefix("fx_") in self.RAW:
@@ -160,6 +160,18 @@ class DriverTables:
             self._derived[name] = df
         return self._derived[name]
 
+    def _spread(self, name: str) -> DataFrame:
+        """A table to land raw datasets from.
+
+        The small test tables are one row group and so one task: those are spread over the cores.
+        Tables with at least as many splits as cores are read as they are, without a shuffle.
+        """
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        if self.root and name in ("lineitem", "orders") and df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+        return df
+
     def raw(self) -> Mapping[str, DataFrame]:
         """The raw datasets and seeds under the names the warehouse expects, landed on first use."""
         return _OnDemand(self)
