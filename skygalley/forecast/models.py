@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygalley.config import BoostingConfig, ForecastConfig
-from skygalley.forecast.folds import train_part
+from skygalley.forecast.folds import test_part, train_part
 from skygalley.functions import floor_threshold, non_negative_int
 
 # Below every real average: rows without history form the lowest group, as in the published model.
@@ -178,3 +180,22 @@ def boosting_grid() -> list[BoostingConfig]:
         for r in (0.03, 0.05, 0.1)
         for d in (4, 6, 8)
     ]
+
+
+def tune(
+    features: DataFrame, cfg: ForecastConfig, grid: Sequence[BoostingConfig] | None = None
+) -> DataFrame:
+    """Classifier log loss of each setting on the last weeks of the *training* part."""
+    train = train_part(features, cfg.test_weeks)
+    fit_on, check_on = train_part(train, cfg.test_weeks), test_part(train, cfg.test_weeks)
+    rows = []
+    for setting in grid or boosting_grid():
+        model = fit_classifier(fit_on, dataclasses.replace(cfg, classifier=setting))
+        scored = model.transform(_prepared(check_on, cfg))
+        p = F.greatest(F.least(vector_to_array("probability")[1], F.lit(1 - 1e-15)), F.lit(1e-15))
+        loss = F.avg(F.when(F.col(cfg.target) > 0, -F.log(p)).otherwise(-F.log(1 - p)))
+        found = scored.agg(loss.alias("loss")).first()["loss"]
+        rows.append((setting.iterations, setting.learning_rate, setting.depth, found))
+    return features.sparkSession.createDataFrame(
+        rows, "iterations int, learning_rate double, depth int, log_loss double"
+    )

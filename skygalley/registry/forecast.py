@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skygalley.config import BoostingConfig
 from skygalley.forecast import evaluation as ev
-from skygalley.forecast import folds, models, preparation, scoring
+from skygalley.forecast import folds, models, neighbours, preparation, scoring
 from skygalley.functions import absolute_error, floor_threshold, half_even
 from skygalley.plans.warehouse import fresh_products
 from skygalley.registry.base import Lab, plain, query
@@ -433,6 +433,26 @@ def _poisson(lab: Lab):
     return out.select("flight_key", "item_id", "sold_quantity", "predicted")
 
 
+@query("base_knn")
+def _neighbours(lab: Lab):
+    """Mean absolute error for each number of neighbours and each rounding threshold."""
+    cfg, ks = lab.forecast, (3, 5, 7)
+    train = folds.train_part(features(lab), cfg.test_weeks)
+    test = folds.test_part(features(lab), cfg.test_weeks)
+    rows = neighbours.predict_neighbours(train, test, cfg, ks)
+    tried = [
+        F.struct(F.lit(k).alias("k"), F.lit(t).alias("threshold"), F.col(f"knn_{k}").alias("raw"))
+        for k in ks
+        for t in (0.3, 0.5, 0.7)
+    ]
+    rows = rows.select(cfg.target, F.inline(F.array(*tried)))
+    rows = rows.withColumn("predicted", floor_threshold(F.col("raw"), F.col("threshold")))
+    fact, predicted = F.col(cfg.target), F.col("predicted")
+    return rows.groupBy("k", "threshold").agg(
+        ev.mean_absolute_error(fact, predicted).alias("mae"), *ev.business_metrics(fact, predicted)
+    )
+
+
 # --- scoring --------------------------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
 import dataclasses
 import datetime
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from skygalley.config import BoostingConfig, ForecastConfig
 from skygalley.errors import ValidationError
 from skygalley.forecast import evaluation as ev
-from skygalley.forecast import folds, preparation, scoring
+from skygalley.forecast import folds, models, neighbours, preparation, scoring
 from skygalley.forecast.run import run_forecast
 
 CFG = ForecastConfig()
@@ -198,3 +199,42 @@ def test_whole_run_stores_results(spark, lab, tmp_path):
     assert spark.read.parquet(f"{root}/feature_importance").count() == 5 * len(runs)
     assert spark.read.parquet(f"{root}/lookup_hist_avg").count() > 0
     assert ev.latest_accuracy(metrics) is not None
+
+
+@pytest.mark.parametrize("slice_points", [20_000, 40])
+def test_neighbours_against_brute_force(spark, monkeypatch, slice_points):
+    """All distances computed in plain Python; small slices force many slice pairs."""
+    monkeypatch.setattr(neighbours, "SLICE_POINTS", slice_points)
+    rng = random.Random(7)
+    # distinct distances nearly surely; one point holds a third of the rows
+    train = [([rng.random(), rng.random()], rng.randrange(9)) for _ in range(200)]
+    train += [(train[0][0], rng.randrange(9)) for _ in range(100)]
+    test = [([rng.random(), rng.random()],) for _ in range(90)]
+    known = spark.createDataFrame(train, "point array<double>, y int")
+    asked = spark.createDataFrame(test, "point array<double>")
+    found = neighbours.nearest_means(known, asked, (3, 5), "y").collect()
+    got = {k: {tuple(r.point): r[f"knn_{k}"] for r in found} for k in (3, 5)}
+    assert len(found) == 90
+    by_point = {}
+    for p, y in train:
+        by_point.setdefault(tuple(p), []).append(y)
+    for k in (3, 5):
+        for (q,) in test:
+            need, total = k, 0.0
+            for p, ys in sorted(by_point.items(), key=lambda e: math.dist(e[0], q)):
+                used = min(need, len(ys))
+                total += used * sum(ys) / len(ys)
+                need -= used
+                if not need:
+                    break
+            assert math.isclose(got[k][tuple(q)], total / k, rel_tol=1e-9)
+
+
+def test_tuning_ranks_settings(spark, lab):
+    assert len(models.boosting_grid()) == 27
+    features = preparation.build_features(
+        preparation.without_errors(lab.wh.ref("mart_fresh_food_order_sale")), CFG
+    )
+    grid = [BoostingConfig(iterations=1, depth=2), BoostingConfig(iterations=2, depth=2)]
+    got = models.tune(features, CFG, grid).collect()
+    assert [r.iterations for r in got] == [1, 2] and all(r.log_loss > 0 for r in got)
