@@ -10,7 +10,7 @@ from skygalley.operators.cleaning import first_per_key
 from skygalley.plans import warehouse
 from skygalley.plans.semantic import metric_query
 from skygalley.registry.base import Lab, plain, query
-from skygalley.registry.oracle import double
+from skygalley.registry.oracle import city, double
 from skygalley.registry.oracle import ratio as sql_ratio
 
 # --- joins --------------------------------------------------------------------------------------
@@ -18,10 +18,8 @@ from skygalley.registry.oracle import ratio as sql_ratio
 
 @query(
     "join_lookup_left",
-    """SELECT ticket_id, item_reference, coalesce(co.city_id, 'UNKNOWN') AS origin,
-       coalesce(cd.city_id, 'UNKNOWN') AS destination
-       FROM fx_sales LEFT JOIN fx_cities co ON co.iata_code = flight_origin
-       LEFT JOIN fx_cities cd ON cd.iata_code = flight_destination""",
+    f"""SELECT ticket_id, item_reference, {city("raw.flight_origin")} AS origin,
+        {city("raw.flight_destination")} AS destination FROM fx_sales raw""",
 )
 def _lookup(lab: Lab):
     sales, cities = lab.tables.fixture("fx_sales"), lab.tables.fixture("fx_cities")
@@ -266,7 +264,7 @@ def _cond_max(lab: Lab):
 
 @query(
     "agg_ordered_array",
-    """SELECT line_id, date, array_to_string(connected_flights, '>') AS flights FROM int_line_route""",
+    "SELECT line_id, date, connected_flights AS flights FROM int_line_route",
 )
 def _ordered(lab: Lab):
     leg = F.struct(F.col("time").isNull().alias("late"), "time", "flight_no")

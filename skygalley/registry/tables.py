@@ -60,8 +60,7 @@ for _name in MODELS:
 
 @query(
     "int_line_route",
-    """SELECT line_id, date, load_id, array_to_string(connected_flights, '>') AS connected_flights,
-       array_to_string(route, '>') AS route, len(route) AS stops, potential_error FROM int_line_route""",
+    "SELECT * FROM int_line_route",
 )
 def _line_route(lab: Lab):
     return lab.wh.model("int_line_route").select(
