@@ -186,17 +186,11 @@ def metric_rows(metrics: DataFrame, run_id: int) -> DataFrame:
 
 def is_degraded(previous: float | None, current: float, allowed: float) -> tuple[bool, str]:
     """A drop is too large only when strictly above the allowed share of the previous accuracy."""
-    if previous is None:
-        return False, "No previous model to compare"
-    if previous == 0:
-        return False, "Degradation check skipped"
-    drop = (previous - current) / previous
-    if drop > allowed:
-        return True, (
-            f"Model accuracy dropped by {round(drop * 100, 1)}%"
-            f" (previous: {previous:.3f}, current: {current:.3f})"
-        )
-    return False, "Performance acceptable"
+    if not previous:
+        return False, "nothing to compare with"
+    lost = (previous - current) / previous
+    note = f"accuracy {current:.3f} after {previous:.3f}, a loss of {lost:.1%} (allowed: {allowed:.1%})"
+    return lost > allowed, note
 
 
 def latest_accuracy(

@@ -47,7 +47,7 @@ def clean_data(df: DataFrame) -> DataFrame:
     """``without_errors``, then drop columns and rows that hold nothing; an empty result is an error."""
     df = without_errors(df)
     if df.isEmpty():
-        raise ValidationError("Dataset is empty after cleaning")
+        raise ValidationError("no rows are left after cleaning")
     return drop_empty_rows(drop_empty_columns(df))
 
 
@@ -110,7 +110,7 @@ def validate(df: DataFrame, cfg: ForecastConfig) -> None:
     """Raise at the first broken rule. All values are gathered in one pass."""
     missing = [c for c in cfg.required_columns if c not in df.columns]
     if missing:
-        raise ValidationError(f"Missing columns: {missing}")
+        raise ValidationError(f"required columns are absent: {missing}")
     numeric = isinstance(df.schema[cfg.target].dataType, T.NumericType)
     level_ok = F.coalesce(F.col("hist_level_used").between(1, cfg.hist_levels), F.lit(False))
     found = df.agg(
@@ -123,21 +123,18 @@ def validate(df: DataFrame, cfg: ForecastConfig) -> None:
     ).first()
     nulls = {c: found[f"null_{c}"] for c in cfg.required_columns if found[f"null_{c}"]}
     if nulls:
-        raise ValidationError(f"NaN values are present in: {nulls}")
+        raise ValidationError(f"required columns hold missing values: {nulls}")
     if not numeric:
-        raise ValidationError(f"Target '{cfg.target}' is not numeric")
+        raise ValidationError(f"the target {cfg.target} is no number")
     if found["negative"]:
-        raise ValidationError(f"Target '{cfg.target}' has negative values")
+        raise ValidationError(f"the target {cfg.target} falls below zero")
     if found["no_average"]:
-        raise ValidationError("hist_avg column contains NaN values")
+        raise ValidationError("rows without a historical average")
     if found["bad_level"]:
-        raise ValidationError("Invalid values in hist_level_used")
-    for name, day in (("start", found["first"]), ("end", found["last"])):
+        raise ValidationError(f"levels outside 1 to {cfg.hist_levels}")
+    for day in (found["first"], found["last"]):
         if not cfg.start_date <= str(day) <= cfg.end_date:
-            raise ValidationError(
-                f"Dataset {name} date {day} is outside expected range"
-                f" [{cfg.start_date} : {cfg.end_date}]"
-            )
+            raise ValidationError(f"{day} is not within {cfg.start_date} to {cfg.end_date}")
 
 
 def validation_report(df: DataFrame, cfg: ForecastConfig) -> DataFrame:

@@ -228,13 +228,13 @@ def check_domain(domain: Domain) -> None:
     for name, metric in domain.metrics.items():
         parts = _parts(name, metric)
         if any(isinstance(p, Entities) for p in parts) and domain.entity is None:
-            raise ValidationError(f"Metric '{name}' counts entities but the domain names none")
+            raise ValidationError(f"metric {name} counts entities but the domain names none")
         if any(isinstance(p, Total) and not p.columns for p in parts):
-            raise ValidationError(f"Metric '{name}' sums no column")
+            raise ValidationError(f"metric {name} sums no column")
     for name, dimension in domain.dimensions.items():
         for table in dimension.requires:
             if table not in domain.joins:
-                raise ValidationError(f"Dimension '{name}' requires unknown join '{table}'")
+                raise ValidationError(f"dimension {name} needs the join {table}, which is not declared")
     if set(domain.join_order) != set(domain.joins):
         raise ValidationError("joins and join_order must list the same tables")
 
@@ -244,30 +244,30 @@ def _parts(name: str, metric: Metric) -> tuple[Total | Entities, ...]:
         return (metric.numerator, metric.denominator)
     if isinstance(metric, (Total, Entities)):
         return (metric,)
-    raise ValidationError(f"Unknown type of metric '{name}'")
+    raise ValidationError(f"metric {name} is neither a total, a count nor a ratio")
 
 
 def _check_request(domain: Domain, metrics, group_by, filters, order_by, limit) -> None:
     if not metrics:
-        raise ValidationError("Incorrect request. No metrics are given")
+        raise ValidationError("a request needs at least one metric")
     for name in metrics:
         if name not in domain.metrics:
-            raise ValidationError(f"Unknown metric name: {name}")
+            raise ValidationError(f"no such metric: {name}")
     if not isinstance(group_by, list):
         raise ValidationError(f"group_by must be a list: {group_by}")
     for name in group_by:
         if name not in domain.dimensions:
-            raise ValidationError(f"Unknown group_by name: {name}")
+            raise ValidationError(f"no such dimension to group by: {name}")
     if not isinstance(filters, dict):
         raise ValidationError(f"filters must be a dictionary: {filters}")
     for name in filters:
         if name not in domain.dimensions:
-            raise ValidationError(f"Unknown filter name: {name}")
+            raise ValidationError(f"no such dimension to filter by: {name}")
     for name, direction in order_by.items():
         if name not in metrics and name not in group_by:
-            raise ValidationError(f"Unknown order_by name: {name}")
+            raise ValidationError(f"not part of the answer, cannot order by it: {name}")
         if direction not in ("asc", "desc"):
-            raise ValidationError(f"Unknown order direction: {direction}")
+            raise ValidationError(f"direction must be asc or desc: {direction}")
     if limit is not None and not 0 < limit <= ROW_LIMIT:
         raise ValidationError(f"limit must be from 1 to {ROW_LIMIT}: {limit}")
 
@@ -302,7 +302,7 @@ def metric_query(
     filters = {} if filters is None else filters
     order_by = order_by or {}
     if domain not in DOMAINS:
-        raise ValidationError(f"Unknown metric type: {domain}")
+        raise ValidationError(f"no such domain: {domain}")
     spec = DOMAINS[domain]
     check_domain(spec)
     _check_request(spec, metrics, group_by, filters, order_by, limit)
