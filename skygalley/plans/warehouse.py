@@ -58,12 +58,12 @@ def int_flights(
         "WASTAGE": wastage.withColumn("time", F.lit(None).cast("string")),
         "SALES": sales,
         "PAYMENTS": payments,
-        "PAX": pax.withColumn("load_id", F.lit(None).cast("int")),
+        "PAX": pax.withColumn("load_id", F.lit(None).cast("bigint")),
     }
     flights = None
     for name, df in sources.items():
         seen = df.select(
-            "flight_no", "origin", "destination", "date", "time", F.col("load_id").cast("int")
+            "flight_no", "origin", "destination", "date", "time", F.col("load_id").cast("bigint")
         ).distinct()
         seen = seen.withColumn("source", F.lit(name))
         flights = seen if flights is None else flights.unionByName(seen)

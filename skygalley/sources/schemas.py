@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 2)
 TEXT = T.StringType()
 INT = T.IntegerType()
+LONG = T.LongType()
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ RAW_DATASETS: dict[str, RawDataset] = {
         ",",
         (
             ("Session No", "session_no", TEXT),
-            ("Order No", "order_no", INT),
+            ("Order No", "order_no", LONG),
             ("Flight No", "flight_no", TEXT),
             ("Flight Origin", "flight_origin", TEXT),
             ("Flight Destination", "flight_destination", TEXT),
@@ -74,7 +75,7 @@ RAW_DATASETS: dict[str, RawDataset] = {
         ",",
         (
             ("Session No", "session_no", TEXT),
-            ("Order No", "order_no", INT),
+            ("Order No", "order_no", LONG),
             ("Ticket ID", "ticket_id", TEXT),
             ("Flight No", "flight_no", TEXT),
             ("Flight Origin", "flight_origin", TEXT),
@@ -95,7 +96,7 @@ RAW_DATASETS: dict[str, RawDataset] = {
         "wastage*",
         ",",
         (
-            ("Order No", "order_no", INT),
+            ("Order No", "order_no", LONG),
             ("Flight No", "flight_no", TEXT),
             ("Scheduled Route", "scheduled_route", TEXT),
             ("Scheduled Date", "scheduled_date", TEXT),
@@ -117,7 +118,7 @@ RAW_DATASETS: dict[str, RawDataset] = {
             ("iata_departure", "iata_departure", TEXT),
             ("iata_destination", "iata_destination", TEXT),
             ("scheduled_datetime", "scheduled_datetime", TEXT),
-            ("order_no", "order_no", INT),
+            ("order_no", "order_no", LONG),
         ),
     ),
     "product_catalog": RawDataset(
@@ -151,7 +152,7 @@ RAW_DATASETS: dict[str, RawDataset] = {
         (
             ("flight_number", "flight_number", TEXT),
             ("departure_date", "departure_date", TEXT),
-            ("order_num", "order_num", INT),
+            ("order_num", "order_num", LONG),
             ("item_reference", "item_reference", TEXT),
             ("total_qty_loaded", "total_qty_loaded", INT),
         ),
@@ -165,7 +166,7 @@ RAW_DATASETS: dict[str, RawDataset] = {
             ("iata_departure", "iata_departure", TEXT),
             ("iata_destination", "iata_destination", TEXT),
             ("scheduled_datetime_utc", "scheduled_datetime_utc", TEXT),
-            ("order_no", "order_no", INT),
+            ("order_no", "order_no", LONG),
         ),
     ),
 }

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from skygalley import session
 from skygalley.sources import lineage, readers, sinks
 from skygalley.sources.schemas import RAW_DATASETS
 
@@ -77,3 +78,13 @@ def test_lineage(spark, tmp_path):
     assert got["a"].layer == "marts" and got["a"].tags == ["daily"]
     edges = sorted((r.from_node, r.to_node) for r in lineage.dependencies(nodes).collect())
     assert edges == [("model.a", "model.b"), ("seed.c", "model.b")]
+
+
+def test_tables_go_where_the_cluster_says(spark):
+    """``spark.checkpoint.dir`` wins; a folder of our own only where nothing names one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = session.shared_folder(spark)
+    assert not named or folder == named
+    assert spark.sparkContext.getCheckpointDir()
+    one, two = session.new_table_root(spark), session.new_table_root(spark)
+    assert one != two and one.startswith(folder.rstrip("/"))
