@@ -34,36 +34,48 @@ _PLACED = (
 )
 
 
-def _exact(gap: int, left: list[int], most: int) -> tuple[int, ...] | None:
-    """Up to ``most`` (at most three) lengths of which pieces are left and whose sum is the gap; longest first."""
-    if most and left[gap]:
-        return (gap,)
-    if most < 2:
-        return None
-    have = np.flatnonzero(np.asarray(left[: gap + 1]))
-    known = np.zeros(gap + 1, dtype=bool)
-    known[have] = True
-
-    def pair(total: int) -> tuple[int, int] | None:
-        a = have[(have >= (total + 1) // 2) & (have < total)][::-1]
-        a = a[known[total - a]]
-        for x in a.tolist():
-            if 2 * x != total or left[x] > 1:
+class _Complements:
+    """Pieces left by length, and an index of the sums that one, two and three of them can have.
+
+    Pieces only ever get fewer, so an index made earlier says no rightly; a yes is looked up, and when it proves wrong
+    the index is made anew.
+    """
+
+    def __init__(self, left: list[int]):
+        self.left = left
+        self._make()
+
+    def _make(self) -> None:
+        self.single = np.array(self.left) > 0
+        self.single[0] = False
+        size, one = len(self.left), self.single.astype(np.float32)
+        self.pair = np.convolve(one, one)[:size] > 0.5
+        self.triple = np.convolve(self.pair.astype(np.float32), one)[:size] > 0.5
+
+    def _pair(self, total: int) -> tuple[int, int] | None:
+        for x in range(total - 1, (total - 1) // 2, -1):
+            if self.left[x] and self.left[total - x] and (2 * x != total or self.left[x] > 1):
                 return x, total - x
         return None
 
-    if (found := pair(gap)) or most < 3:
-        return found
-    for a in have[have < gap][::-1].tolist():
-        left[a] -= 1
-        if not left[a]:
-            known[a] = False
-        rest = pair(gap - a) if gap - a > 1 else None
-        left[a] += 1
-        known[a] = True
-        if rest:
-            return tuple(sorted((a, *rest), reverse=True))
-    return None
+    def find(self, gap: int, most: int) -> tuple[int, ...] | None:
+        """Up to ``most`` lengths whose sum is the gap, longest first; the fewest that do."""
+        if most and self.left[gap]:
+            return (gap,)
+        if most > 1 and self.pair[gap] and (found := self._pair(gap)):
+            return found
+        if most < 3 or not self.triple[gap]:
+            return None
+        for a in np.flatnonzero(self.single[1:gap] & self.pair[gap - 1 : 0 : -1])[::-1] + 1:
+            if not self.left[a]:
+                continue
+            self.left[a] -= 1
+            rest = self._pair(gap - int(a))
+            self.left[a] += 1
+            if rest:
+                return tuple(sorted((int(a), *rest), reverse=True))
+        self._make()
+        return None
 
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
@@ -87,10 +99,11 @@ def _plan(counts: dict[int, int], size: int, most: int) -> list[tuple[tuple[int,
         out.append(((size,), left[size]))
         left[size] = 0
     rest: list[tuple[int, int]] = []
+    complements = _Complements(left)
     for longest in range(size - 1, 0, -1):
         while left[longest]:
             left[longest] -= 1
-            found = _exact(size - longest, left, most)
+            found = complements.find(size - longest, most)
             left[longest] += 1
             if not found:
                 rest.append((longest, left[longest]))
