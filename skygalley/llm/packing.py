@@ -245,7 +245,8 @@ def pack_documents(
                 names=[c.split()[0] for c in _PLACED.split(", ")],
             )
 
-    ranked = pieces.join(before, ["part", "length"]).select(*pieces.columns, "before")
+    # The offsets grow with the number of tasks: no broadcast.
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).select(*pieces.columns, "before")
     placed = ranked.mapInArrow(place, _PLACED)
     return placed if with_ids else placed.drop("ids")
 

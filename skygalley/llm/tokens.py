@@ -1,7 +1,8 @@
 """Encoding whole texts with a tokenizer of the tokenizers library, one unit between spaces at a time.
 
-Every place where a white-space character follows another one is a place where the pre-tokenizers of the two
-kinds used here split. So a text is cut there into units, and units met before are taken from a bounded memory.
+The pre-tokenizers of the two kinds used here split wherever white space follows another character, and between a letter
+and what is neither letter nor white space. So a text is cut there into units, and units met before are taken from a
+bounded memory.
 """
 
 from __future__ import annotations
@@ -9,22 +10,26 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 # Unicode's White_Space, which both regular-expression libraries mean by \s; Python's \s holds more.
 _SPACE = r"\t-\r " + "".join(
     f"\\u{c:04x}"
     for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 )
+# Characters that are letters for certain, also in lower case (not U+0130), and ASCII that is neither letter nor space.
+_LETTER = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_OTHER = r"!-@\[-`{-~"
+# A run up to a space, or up to a letter that something else follows; the rest of the run is a unit of its own.
+_RUN = f"[{_OTHER}]*[^{_SPACE}{_OTHER}]*(?:(?<![{_LETTER}])[{_OTHER}]+[^{_SPACE}{_OTHER}]*)*"
 #: White space joins the word after it (byte-level tokenizers).
-SPACE_KEPT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+SPACE_KEPT = re.compile(f"[{_SPACE}]*{_RUN}")
 #: White space is dropped.
-SPACE_DROPPED = re.compile(f"[^{_SPACE}]+")
+SPACE_DROPPED = re.compile(f"(?=[^{_SPACE}]){_RUN}")
 
 # Units kept in memory by one Python worker, and the longest unit that is kept.
-MEMORY_UNITS = 250_000
+MEMORY_UNITS = 500_000
 MEMORY_UNIT_CHARS = 64
 
 
@@ -43,7 +48,7 @@ class UnitEncoder:
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return {u: np.array(e.ids, dtype="<u4").tobytes() for u, e in zip(units, found)}
+        return {u: array("I", e.ids).tobytes() for u, e in zip(units, found)}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """A null text is empty."""
