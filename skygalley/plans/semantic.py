@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skygalley.errors import ValidationError
 from skygalley.functions import ratio
@@ -247,29 +248,34 @@ def _parts(name: str, metric: Metric) -> tuple[Total | Entities, ...]:
     raise ValidationError(f"metric {name} is neither a total, a count nor a ratio")
 
 
-def _check_request(domain: Domain, metrics, group_by, filters, order_by, limit) -> None:
-    if not metrics:
-        raise ValidationError("a request needs at least one metric")
-    for name in metrics:
-        if name not in domain.metrics:
-            raise ValidationError(f"no such metric: {name}")
-    if not isinstance(group_by, list):
-        raise ValidationError(f"group_by must be a list: {group_by}")
-    for name in group_by:
-        if name not in domain.dimensions:
-            raise ValidationError(f"no such dimension to group by: {name}")
-    if not isinstance(filters, dict):
-        raise ValidationError(f"filters must be a dictionary: {filters}")
-    for name in filters:
-        if name not in domain.dimensions:
-            raise ValidationError(f"no such dimension to filter by: {name}")
-    for name, direction in order_by.items():
-        if name not in metrics and name not in group_by:
-            raise ValidationError(f"not part of the answer, cannot order by it: {name}")
-        if direction not in ("asc", "desc"):
-            raise ValidationError(f"direction must be asc or desc: {direction}")
-    if limit is not None and not 0 < limit <= ROW_LIMIT:
-        raise ValidationError(f"limit must be from 1 to {ROW_LIMIT}: {limit}")
+@dataclass(frozen=True)
+class Request:
+    """What is asked of a domain. ``problems`` names every field that can't be answered, and why."""
+
+    metrics: object
+    group_by: object
+    filters: object
+    order_by: object
+    limit: object
+
+    def problems(self, domain: Domain) -> list[str]:
+        known = {"metrics": set(domain.metrics), "group_by": set(domain.dimensions)}
+        known["filters"] = known["group_by"]
+        shapes = {"metrics": list, "group_by": list, "filters": dict, "order_by": dict}
+        wrong = {f for f, kind in shapes.items() if not isinstance(getattr(self, f), kind)}
+        found = [f"{field}: a {shapes[field].__name__} is expected" for field in sorted(wrong)]
+        for field, names in known.items():
+            if field not in wrong:
+                found += [f"{field}: {name} is unknown" for name in getattr(self, field) if name not in names]
+        if self.metrics == []:
+            found.append("metrics: empty")
+        if not wrong:
+            answer = {*self.metrics, *self.group_by}
+            found += [f"order_by: {name} is not in the answer" for name in self.order_by if name not in answer]
+            found += [f"order_by: {d} is no direction" for d in self.order_by.values() if d not in ("asc", "desc")]
+        if self.limit is not None and not (isinstance(self.limit, int) and self.limit > 0):
+            found.append("limit: a positive number is expected")
+        return found
 
 
 def needed_joins(domain: Domain, names: list[str]) -> list[str]:
@@ -295,8 +301,7 @@ def metric_query(
 ) -> DataFrame:
     """The answer as a lazy frame: dimensions first, then metrics, each under its own name.
 
-    ``tables`` gives a warehouse table by name. Without a limit one row more than the row limit is
-    kept, so that ``metric_result`` can tell whether the answer was cut.
+    ``tables`` gives a warehouse table by name. The answer is whole unless a limit, of any size, is stated.
     """
     group_by = [] if group_by is None else group_by
     filters = {} if filters is None else filters
@@ -305,7 +310,8 @@ def metric_query(
         raise ValidationError(f"no such domain: {domain}")
     spec = DOMAINS[domain]
     check_domain(spec)
-    _check_request(spec, metrics, group_by, filters, order_by, limit)
+    if problems := Request(metrics, group_by, filters, order_by, limit).problems(spec):
+        raise ValidationError("; ".join(problems))
 
     df = tables(spec.base)
     for table in needed_joins(spec, [*group_by, *filters]):
@@ -371,14 +377,14 @@ def metric_query(
         df = df.orderBy(
             *[F.asc_nulls_last(k) if d == "asc" else F.desc_nulls_first(k) for k, d in order_by.items()]
         )
-    return df.limit(limit if limit is not None else ROW_LIMIT + 1)
+    return df if limit is None else df.limit(limit)
 
 
 def metric_result(answer: DataFrame, row_limit: int = ROW_LIMIT) -> dict[str, object]:
-    """At most ``row_limit`` rows as dictionaries, numbers as floats, and whether rows were cut."""
-    rows = answer.limit(row_limit + 1).collect()
-    plain = [
-        {k: float(v) if hasattr(v, "__float__") else v for k, v in row.asDict().items()}
-        for row in rows[:row_limit]
-    ]
-    return {"rows": plain, "truncated": len(rows) > row_limit}
+    """A view of at most ``row_limit`` rows, numbers as doubles, and whether the answer has more."""
+    numbers = {f.name for f in answer.schema.fields if isinstance(f.dataType, T.NumericType)}
+    view = answer.select(
+        *[F.col(c).cast("double").alias(c) if c in numbers else F.col(c) for c in answer.columns]
+    )
+    found = [row.asDict() for row in view.take(row_limit + 1)]
+    return {"rows": found[:row_limit], "truncated": len(found) > row_limit}

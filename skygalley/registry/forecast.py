@@ -6,12 +6,10 @@ fewer boosting rounds than the default so that a check takes seconds; the data i
 
 from __future__ import annotations
 
-import dataclasses
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygalley.config import BoostingConfig
 from skygalley.forecast import evaluation as ev
 from skygalley.forecast import folds, models, neighbours, preparation, scoring
 from skygalley.functions import absolute_error, floor_threshold, half_even
@@ -20,8 +18,6 @@ from skygalley.registry.base import Lab, plain, query
 from skygalley.registry.oracle import double, rint
 from skygalley.sources.sinks import overwrite
 
-CHECK_ROUNDS = 12
-
 
 def mart(lab: Lab) -> DataFrame:
     return lab.wh.ref("mart_fresh_food_order_sale")
@@ -367,13 +363,8 @@ def _estimated(lab: Lab):
 # --- models: rows only ----------------------------------------------------------------------------
 
 
-def _check_config(lab: Lab):
-    rounds = BoostingConfig(iterations=CHECK_ROUNDS)
-    return dataclasses.replace(lab.forecast, classifier=rounds, regressor=rounds)
-
-
 def _model(lab: Lab) -> models.TwoStageModel:
-    return lab.keep("model", lambda: models.fit_two_stage(features(lab), _check_config(lab)))
+    return lab.keep("model", lambda: models.fit_two_stage(features(lab), lab.forecast))
 
 
 def _raw(lab: Lab) -> DataFrame:

@@ -68,7 +68,7 @@ def _sql(
     metrics: list[str],
     group_by: tuple[str, ...] = (),
     filters: dict[str, str] | None = None,
-    tail: str = "LIMIT 201",
+    tail: str = "",
 ) -> str:
     """The request as SQL; ``filters`` holds SQL literals."""
     filters = filters or {}
@@ -114,14 +114,13 @@ for _domain, _spec in DOMAINS.items():
         )
     for _name in _spec.dimensions:
         _metrics = list(_spec.metrics)[:2]
-        # more than 200 values: a stated order decides which rows are kept
         _order = {_name: "asc"}
         register(
             f"mq_{_domain}_by_{_name}",
             lambda lab, d=_domain, m=_metrics, n=_name, o=_order: metric_query(
                 lab.wh.ref, d, m, [n], None, o
             ),
-            _sql(_domain, _metrics, (_name,), tail=f"ORDER BY {_name} ASC NULLS LAST LIMIT 201"),
+            _sql(_domain, _metrics, (_name,), tail=f"ORDER BY {_name} ASC NULLS LAST"),
         )
 
 register(

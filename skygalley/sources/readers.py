@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,27 +10,62 @@ from skygalley.operators.cleaning import drop_columns
 from skygalley.sources.schemas import RAW_DATASETS, SEEDS
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files that a path or pattern names, folders one level deep, by their first line; empty files are left out.
+
+    Read through Hadoop's file system, as Spark's own listing is: one line per file comes to the driver.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    fs = pattern.getFileSystem(conf)
+    files = []
+    for status in fs.globStatus(pattern) or []:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        files += [s.getPath() for s in inside if s.isFile() and s.getPath().getName()[0] not in "_."]
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[str, list[str]] = {}
+    for file in files:
+        stream = fs.open(file)
+        codec = codecs.getCodec(file)
+        stream = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        header = reader.readLine()
+        reader.close()
+        if header:
+            found.setdefault(header, []).append(file.toString())
+    return found
+
+
 def read_raw(spark: SparkSession, folder: str, dataset: str, fmt: str = "csv") -> DataFrame:
     """All files of one raw dataset as one frame, columns renamed to the engine's names.
 
-    CSV columns are matched by header, so files may add columns or order them differently.
-    Prohibited columns are dropped here and so never reach a table.
+    CSV columns are matched by each file's own header: files of one header are read together, so files may add columns
+    or order them differently. Prohibited columns are dropped here and so never reach a table.
     """
     spec = RAW_DATASETS[dataset]
     path = f"{folder.rstrip('/')}/{spec.pattern}"
+
+    def named(df: DataFrame) -> DataFrame:
+        df = drop_columns(df, spec.prohibited)
+        have = set(df.columns)
+        missing = [header for header, _, _ in spec.columns if header not in have]
+        if missing:
+            raise ValueError(f"{dataset}: missing columns {missing}")
+        return df.select(
+            *[F.col(f"`{header}`").cast(kind).alias(name) for header, name, kind in spec.columns]
+        )
+
     if fmt == "parquet":
-        df = spark.read.option("mergeSchema", "true").parquet(path)
-    else:
-        # The header decides the columns (all text, no inference scan); the casts come below.
-        df = spark.read.csv(path, sep=spec.separator, header=True)
-    df = drop_columns(df, spec.prohibited)
-    have = set(df.columns)
-    missing = [header for header, _, _ in spec.columns if header not in have]
-    if missing:
-        raise ValueError(f"{dataset}: missing columns {missing}")
-    return df.select(
-        *[F.col(f"`{header}`").cast(kind).alias(name) for header, name, kind in spec.columns]
-    )
+        return named(spark.read.option("mergeSchema", "true").parquet(path))
+    groups = _files_by_header(spark, path)
+    if not groups:
+        raise ValueError(f"{dataset}: no file with a header at {path}")
+    # The header decides the columns (all text, no inference scan); a file that disagrees with it is an error.
+    frames = [
+        named(spark.read.csv(files, sep=spec.separator, header=True, enforceSchema=False))
+        for _, files in sorted(groups.items())
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -38,7 +75,7 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 def read_seed(spark: SparkSession, path: str, seed: str) -> DataFrame:
     """A small lookup. No hint: Catalyst broadcasts it while its file size is under the threshold."""
-    return spark.read.csv(path, schema=SEEDS[seed], header=True)
+    return spark.read.csv(path, schema=SEEDS[seed], header=True, enforceSchema=False)
 
 
 def read_mart_since(spark: SparkSession, path: str, since: str, column: str = "date") -> DataFrame:

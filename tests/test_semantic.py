@@ -29,7 +29,7 @@ from skygalley.plans.semantic import (
         {"domain": "sales", "metrics": ["revenue"], "order_by": {"year": "asc"}},
         {"domain": "sales", "metrics": ["revenue"], "order_by": {"revenue": "DESC"}},
         {"domain": "sales", "metrics": ["revenue"], "limit": 0},
-        {"domain": "sales", "metrics": ["revenue"], "limit": ROW_LIMIT + 1},
+        {"domain": "sales", "metrics": ["revenue"], "limit": "5"},
     ],
 )
 def test_bad_requests(lab, request_):
@@ -37,6 +37,17 @@ def test_bad_requests(lab, request_):
         metric_query(lab.wh.ref, **request_)
 
 
+def test_all_problems_are_named(lab):
+    with pytest.raises(ValidationError, match="profit.*planet.*up.*limit"):
+        metric_query(lab.wh.ref, "sales", ["profit", "revenue"], ["planet"], {}, {"revenue": "up"}, -1)
+
+
+def test_answer_is_whole(lab):
+    whole = metric_query(lab.wh.ref, "wastage", ["loaded_quantity"], ["load_id"])
+    assert whole.count() > ROW_LIMIT + 1
+    assert metric_query(lab.wh.ref, "wastage", ["loaded_quantity"], ["load_id"], limit=250).count() == 250
+
+
 def test_domains_are_complete():
     for domain in DOMAINS.values():
         check_domain(domain)
