@@ -4,8 +4,8 @@ Method: one Bloom filter per language over character 3-grams, stored bit-sliced:
 and of an n-gram's slots gives all languages whose filter contains it. A text's 3-grams are looked up; each
 language's count of hits, less the hits that its filter's fill makes by chance, decides.
 
-Training counts 3-grams over a bounded sample of labelled rows (``SAMPLE_DOCS`` per language, those with the
-smallest hash of the id); prediction is a map over documents with a table of at most 2^``MAX_BITS`` slots.
+Training counts 3-grams over a bounded sample of labelled rows (``SAMPLE_DOCS`` expected per language, those whose hash
+of the id is small enough); prediction is a map over documents with a table of at most 2^``MAX_BITS`` slots.
 """
 
 from __future__ import annotations
@@ -125,13 +125,15 @@ def learn(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    first = rows.select("lang", "h").withColumn("nth", nth).where(F.col("nth") <= sample_docs)
-    upto = {r["lang"]: r["upto"] for r in first.groupBy("lang").agg(F.max("h").alias("upto")).collect()}
-    if not upto:
+    counted = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counted:
         return LanguageModel([], np.zeros((2, 1), np.uint64), 0)
-    languages = sorted(upto)
-    limit = F.create_map(*[F.lit(x) for pair in upto.items() for x in pair])[F.col("lang")]
+    languages = sorted(counted)
+    # The share of all 64-bit hashes that gives the sample's size.
+    upto = {k: min(2**63 - 1, int(2**64 * sample_docs / n) - 2**63) for k, n in counted.items()}
+    limit = F.create_map(*[F.lit(x).cast("long") if isinstance(x, int) else F.lit(x) for pair in upto.items() for x in pair])[
+        F.col("lang")
+    ]
     sample = rows.where(F.col("h") <= limit).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
