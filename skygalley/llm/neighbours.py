@@ -20,8 +20,8 @@ from skygalley.llm.exchange import materialize, one_array, pack, unpack
 SHARD_VECTORS = 8192
 DEGREE = 32
 ALPHA = 1.2
-BUILD_BEAM = 64
-SEARCH_BEAM = 96
+BUILD_BEAM = 96
+SEARCH_BEAM = 192
 # Queries that meet a shard in one task, and searches that run together.
 QUERY_BLOCK = 4096
 LOCKSTEP = 256
