@@ -184,11 +184,21 @@ def metric_rows(metrics: DataFrame, run_id: int) -> DataFrame:
     return metrics.select(F.inline(F.array(*entries)))
 
 
+def loss(previous, current):
+    """Share of the previous accuracy that is lost; of two numbers or of two columns."""
+    return (previous - current) / previous
+
+
+def degraded(previous: Column, current: Column, allowed: float) -> Column:
+    """Whether the loss is above the allowed share; never without a previous accuracy, or after zero."""
+    return F.coalesce(loss(F.nullif(previous, F.lit(0.0)), current) > allowed, F.lit(False))
+
+
 def is_degraded(previous: float | None, current: float, allowed: float) -> tuple[bool, str]:
-    """A drop is too large only when strictly above the allowed share of the previous accuracy."""
+    """The same rule for two numbers, with a note for the log."""
     if not previous:
         return False, "nothing to compare with"
-    lost = (previous - current) / previous
+    lost = loss(previous, current)
     note = f"accuracy {current:.3f} after {previous:.3f}, a loss of {lost:.1%} (allowed: {allowed:.1%})"
     return lost > allowed, note
 
@@ -196,17 +206,22 @@ def is_degraded(previous: float | None, current: float, allowed: float) -> tuple
 def latest_accuracy(
     metrics: DataFrame, runs: DataFrame | None = None, threshold_type: str | None = None
 ) -> float | None:
-    """Accuracy of the latest stored run; with ``threshold_type`` of the latest run of that kind."""
+    """Accuracy of the latest stored run; with ``threshold_type`` of the latest run of that kind.
+
+    With ``runs`` only complete runs count: what a run left that ended half-way is passed over.
+    """
     rows = metrics.where("metric_name = 'accuracy'")
-    if threshold_type is not None and runs is not None:
-        rows = rows.join(runs.where(F.col("threshold_type") == threshold_type), "run_id", "left_semi")
+    if runs is not None:
+        complete = runs if threshold_type is None else runs.where(F.col("threshold_type") == threshold_type)
+        rows = rows.join(complete, "run_id", "left_semi")
     last = rows.orderBy(F.desc("run_id")).select("metric_value").first()
     return last[0] if last else None
 
 
-def next_run_id(runs: DataFrame | None) -> int:
-    last = runs.agg(F.max("run_id")).first()[0] if runs is not None else None
-    return (last or 0) + 1
+def next_run_id(*stored: DataFrame | None) -> int:
+    """One more than any id in the given tables, half-written runs included; one writer at a time."""
+    tables = [t.agg(F.max("run_id")).first()[0] for t in stored if t is not None]
+    return max((i for i in tables if i is not None), default=0) + 1
 
 
 def store_run(

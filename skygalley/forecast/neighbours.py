@@ -4,7 +4,9 @@ Rows that share item, route, day period and passenger class share one feature po
 runs over distinct points with a row count each. Points are cut into even slices by hash; each pair
 of slices is searched inside one task with numpy and gives at most k neighbours per point, and the
 best k over all slices are picked afterwards. No list of pairs is ever formed, and no slice pair
-outgrows a task however large the data is.
+outgrows a task however large the data is. Ties are settled alike inside a slice and over all slices,
+so the number of slices never shows in the result. The work grows with distinct test points times
+distinct training points.
 """
 
 from __future__ import annotations
@@ -85,6 +87,15 @@ def with_points(df: DataFrame, encoding: PipelineModel, cfg: ForecastConfig) ->
     return out.select(*keep, point.alias("point"))
 
 
+def _first_smallest(values: np.ndarray, take: int) -> np.ndarray:
+    """Columns of the ``take`` smallest values of each row; of equal values the first ones count."""
+    last = np.partition(values, take - 1, axis=1)[:, take - 1 : take]
+    below, equal = values < last, values == last
+    room = take - below.sum(axis=1, keepdims=True)
+    chosen = below | (equal & (np.cumsum(equal, axis=1) <= room))
+    return np.nonzero(chosen)[1].reshape(len(values), take)
+
+
 def _search(k: int):
     def run(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         columns = ["point", "distance", "n", "total"]
@@ -94,6 +105,9 @@ def _search(k: int):
         asked = np.stack(test["point"].to_numpy()).astype(float)
         take = min(k, len(known))
         n, total = train["n"].to_numpy(), train["total"].to_numpy()
+        # the order among equally far points, the same in every slice
+        order = np.lexsort((-total, -n))
+        known, n, total = known[order], n[order], total[order]
         rows = max(1, BLOCK // len(known))
         found = []
         for start in range(0, len(asked), rows):
@@ -102,7 +116,7 @@ def _search(k: int):
             squares = np.zeros((len(block), len(known)))
             for j in range(known.shape[1]):
                 squares += (block[:, j, None] - known[None, :, j]) ** 2
-            near = np.argpartition(squares, take - 1, axis=1)[:, :take]
+            near = _first_smallest(squares, take)
             picked = np.take_along_axis(squares, near, axis=1)
             found.append(
                 pd.DataFrame(
@@ -137,9 +151,8 @@ def nearest_means(train: DataFrame, test: DataFrame, ks: Sequence[int], target:
     One search for the largest k serves all. Points at the rim that hold more rows than are still
     needed count with their mean; of equally far points the one with more rows comes first.
     """
-    known = train.groupBy("point").agg(
-        F.count(target).alias("n"), F.sum(F.col(target).cast("double")).alias("total")
-    )
+    known = train.where(F.col(target).isNotNull()).groupBy("point")
+    known = known.agg(F.count(target).alias("n"), F.sum(F.col(target).cast("double")).alias("total"))
     asked = test.select("point").distinct()
     n_known, n_asked = _slices(known), _slices(asked)
     left = _sliced(asked, "s_asked", n_asked, "s_known", n_known).groupBy("s_asked", "s_known")

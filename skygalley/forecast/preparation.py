@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from skygalley.config import ForecastConfig
 from skygalley.errors import ValidationError
 from skygalley.functions import bucket, half_even, ratio
-from skygalley.operators.cleaning import drop_empty_columns, drop_empty_rows, first_per_key
+from skygalley.operators.cleaning import drop_empty_rows, first_per_key, non_empty_columns
 from skygalley.operators.joins import join_null_safe
 
 GRAIN = ["flight_key", "item_id"]
@@ -46,9 +46,10 @@ def without_errors(df: DataFrame) -> DataFrame:
 def clean_data(df: DataFrame) -> DataFrame:
     """``without_errors``, then drop columns and rows that hold nothing; an empty result is an error."""
     df = without_errors(df)
-    if df.isEmpty():
+    filled = non_empty_columns(df)
+    if not filled:
         raise ValidationError("no rows are left after cleaning")
-    return drop_empty_rows(drop_empty_columns(df))
+    return drop_empty_rows(df.select(*filled))
 
 
 def pax_bin(passengers: Column, cfg: ForecastConfig, serving: bool = False) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from skygalley.config import ForecastConfig
@@ -13,16 +12,18 @@ from skygalley.forecast import evaluation as ev
 from skygalley.forecast.folds import test_part
 from skygalley.forecast.models import TwoStageModel, decide, feature_importance, fit_two_stage, raw_predictions
 from skygalley.forecast.preparation import build_features, clean_data, hist_lookup, validate
-from skygalley.sources.sinks import append_or_replace, overwrite
+from skygalley.sources.sinks import append_or_replace, overwrite, table_exists
 
 log = logging.getLogger(__name__)
 
 
+# Tables of stored runs that carry a run id, in the order in which they are written.
+RUN_TABLES = ("model_metrics", "feature_importance", "model_metrics_by_item", "model_runs")
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The table, or nothing where there is no such folder; a table that can't be read raises."""
+    return spark.read.parquet(path) if table_exists(spark, path) else None
 
 
 def run_forecast(
@@ -54,8 +55,9 @@ def run_forecast(
     for threshold_type, threshold in cfg.thresholds.items():
         decided = decide(raw, threshold)
         metrics = ev.evaluate(decided, cfg.target)
-        stored = _stored(spark, f"{root}/model_metrics")
-        previous = ev.latest_accuracy(stored) if stored is not None else None
+        stored = {t: _stored(spark, f"{root}/{t}") for t in RUN_TABLES}
+        complete = stored["model_runs"]
+        previous = ev.latest_accuracy(stored["model_metrics"], complete) if complete is not None else None
         degraded, message = ev.is_degraded(
             previous, metrics.first()["accuracy"], cfg.degradation_threshold
         )
@@ -66,7 +68,7 @@ def run_forecast(
             continue
         ev.store_run(
             root,
-            ev.next_run_id(_stored(spark, f"{root}/model_runs")),
+            ev.next_run_id(*stored.values()),
             version,
             threshold_type,
             threshold,

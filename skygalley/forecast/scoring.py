@@ -11,19 +11,19 @@ from skygalley.forecast.models import TwoStageModel, decide, raw_predictions
 from skygalley.forecast.preparation import LOOKUP_KEY, pax_bin
 
 REQUEST = ["request_id", "route", "day_period", "expected_pax"]
-# Requests spread over this many slices; each slice meets the whole catalog.
-SLICES = 64
 
 
-def with_products(requests: DataFrame, products: DataFrame) -> DataFrame:
+def with_products(requests: DataFrame, products: DataFrame, slices: int | None = None) -> DataFrame:
     """Every request with every fresh product: the forecast of a flight covers the whole catalog.
 
     An equi join on a slice number: Spark broadcasts a small catalog, and shuffles even slices of a
-    large one. No side is assumed to be small.
+    large one. No side is assumed to be small. Requests spread over ``slices`` (the session's shuffle
+    partitions unless stated), and each slice meets the catalog it is given: filter that first.
     """
-    sliced = requests.withColumn("_slice", F.pmod(F.xxhash64("request_id"), F.lit(SLICES)))
-    slices = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)).cast("array<bigint>"))
-    catalog = products.select("item_id", "category", slices.alias("_slice"))
+    n = slices or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = requests.withColumn("_slice", F.pmod(F.xxhash64("request_id"), F.lit(n)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
+    catalog = products.select("item_id", "category", every.alias("_slice"))
     return sliced.join(catalog, "_slice").drop("_slice")
 
 
@@ -60,7 +60,10 @@ def score(
 
 
 def score_item(scores: DataFrame, item_id: str, accuracy: DataFrame) -> DataFrame:
-    """One product's scores with its average (0 without history) and estimated accuracy."""
+    """One product's scores with its average (0 without history) and estimated accuracy.
+
+    Give ``score`` this product alone; scores of other products are passed over.
+    """
     rows = scores.where(F.col("item_id") == item_id)
     return rows.join(accuracy, "item_id", "left").select(
         "request_id",

@@ -42,10 +42,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns that hold no value at all; one pass counts them all."""
+def non_empty_columns(df: DataFrame) -> list[str]:
+    """Columns that hold a value in some row; one pass counts them all."""
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first()
-    return df.select(*[c for c in df.columns if counts[c] > 0])
+    return [c for c in df.columns if counts[c] > 0]
+
+
+def drop_empty_columns(df: DataFrame) -> DataFrame:
+    """Drop columns that hold no value at all."""
+    return df.select(*non_empty_columns(df))
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:

@@ -23,10 +23,18 @@ class NotNull:
 
 @dataclass(frozen=True)
 class Unique:
-    """No value twice. One column: nulls are ignored. Several: a null part counts as a value."""
+    """No value twice. One column: nulls are ignored. Several: a null part counts as a value.
+
+    ``combination``: a single column is treated as several are.
+    """
 
     table: str
     columns: tuple[str, ...]
+    combination: bool = False
+
+    @property
+    def single(self) -> bool:
+        return len(self.columns) == 1 and not self.combination
 
 
 @dataclass(frozen=True)
@@ -71,7 +79,7 @@ def label(rule: Rule) -> tuple[str, str]:
     if isinstance(rule, NotNull):
         return "not_null", rule.column
     if isinstance(rule, Unique):
-        return ("unique" if len(rule.columns) == 1 else "unique_combination"), ",".join(rule.columns)
+        return ("unique" if rule.single else "unique_combination"), ",".join(rule.columns)
     if isinstance(rule, Relationship):
         return "relationship", f"{rule.column}->{rule.parent}.{rule.parent_column}"
     if isinstance(rule, Accepted):
@@ -121,7 +129,7 @@ def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _unique(df: DataFrame, rule: Unique) -> DataFrame:
-    if len(rule.columns) == 1:
+    if rule.single:
         df = df.where(F.col(rule.columns[0]).isNotNull())
     copies = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return _report(copies.agg(F.count(F.lit(1)).alias("failures")), rule)

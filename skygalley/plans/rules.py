@@ -14,35 +14,69 @@ from skygalley.operators.quality import (
 
 # Which columns must be present, unique, in a list, or point to a parent.
 _PRESENT = {
-    "stg_bank": "card_number_prefix brand country_short",
-    "stg_catalog": "item_id item_category price",
-    "stg_pax": "flight_no origin destination pax_quantity",
-    "stg_sales": "session_id load_id flight_no date time slip_id sales_type item_id sold_quantity"
-    " purchase_amount",
-    "stg_payments": "session_id load_id slip_id flight_no sales_type payment_type purchase_amount",
-    "stg_wastage": "load_id flight_no date item_id load_quantity sold_quantity wastage_quantity"
-    " fresh_wastage_quantity",
-    "stg_schedule": "line_id flight_no date",
-    "stg_line": "line_id flight_no origin destination",
-    "stg_items_load": "flight_no date time load_id item_id total_loaded_quantity",
-    "int_flights": "flight_no origin destination date source rn",
-    "int_hours": "hour",
-    "int_line_route": "line_id connected_flights route",
-    "int_flight_load": "line_id flight_number origin destination date time load_id",
-    "dim_time": "time_key hour is_night day_period am_pm",
-    "dim_date": "date_key date year month day quarter week_day is_weekend",
-    "dim_card": "card_number_prefix",
-    "dim_sessions": "sales_session_id",
-    "dim_flights": "flight_key flight_key_with_date flight_number origin destination date",
-    "dim_products": "product_key item_id",
-    "bridge_flight_load": "line_id flight_key load_id",
-    "fact_sales": "sale_transaction_key flight_key product_key",
-    "fact_wastage": "wastage_record_key flight_key_with_date product_key",
-    "fact_pax": "passenger_count_key flight_key travel_class",
-    "fact_items_load": "item_load_key flight_key load_id product_key",
-    "fact_payments": "payment_transaction_key flight_key slip_id sales_type payment_type",
-    "mart_fresh_food_order_sale": "flight_key flight_number origin destination date year item_id"
-    " sold_quantity",
+    "stg_bank": ("card_number_prefix", "brand", "country_short"),
+    "stg_catalog": ("item_id", "item_category", "price"),
+    "stg_pax": ("flight_no", "origin", "destination", "pax_quantity"),
+    "stg_sales": (
+        "session_id",
+        "load_id",
+        "flight_no",
+        "date",
+        "time",
+        "slip_id",
+        "sales_type",
+        "item_id",
+        "sold_quantity",
+        "purchase_amount",
+    ),
+    "stg_payments": (
+        "session_id",
+        "load_id",
+        "slip_id",
+        "flight_no",
+        "sales_type",
+        "payment_type",
+        "purchase_amount",
+    ),
+    "stg_wastage": (
+        "load_id",
+        "flight_no",
+        "date",
+        "item_id",
+        "load_quantity",
+        "sold_quantity",
+        "wastage_quantity",
+        "fresh_wastage_quantity",
+    ),
+    "stg_schedule": ("line_id", "flight_no", "date"),
+    "stg_line": ("line_id", "flight_no", "origin", "destination"),
+    "stg_items_load": ("flight_no", "date", "time", "load_id", "item_id", "total_loaded_quantity"),
+    "int_flights": ("flight_no", "origin", "destination", "date", "source", "rn"),
+    "int_hours": ("hour",),
+    "int_line_route": ("line_id", "connected_flights", "route"),
+    "int_flight_load": ("line_id", "flight_number", "origin", "destination", "date", "time", "load_id"),
+    "dim_time": ("time_key", "hour", "is_night", "day_period", "am_pm"),
+    "dim_date": ("date_key", "date", "year", "month", "day", "quarter", "week_day", "is_weekend"),
+    "dim_card": ("card_number_prefix",),
+    "dim_sessions": ("sales_session_id",),
+    "dim_flights": ("flight_key", "flight_key_with_date", "flight_number", "origin", "destination", "date"),
+    "dim_products": ("product_key", "item_id"),
+    "bridge_flight_load": ("line_id", "flight_key", "load_id"),
+    "fact_sales": ("sale_transaction_key", "flight_key", "product_key"),
+    "fact_wastage": ("wastage_record_key", "flight_key_with_date", "product_key"),
+    "fact_pax": ("passenger_count_key", "flight_key", "travel_class"),
+    "fact_items_load": ("item_load_key", "flight_key", "load_id", "product_key"),
+    "fact_payments": ("payment_transaction_key", "flight_key", "slip_id", "sales_type", "payment_type"),
+    "mart_fresh_food_order_sale": (
+        "flight_key",
+        "flight_number",
+        "origin",
+        "destination",
+        "date",
+        "year",
+        "item_id",
+        "sold_quantity",
+    ),
 }
 
 _UNIQUE = {
@@ -65,14 +99,15 @@ _UNIQUE = {
 }
 
 _UNIQUE_TOGETHER = {
-    "int_flights": "flight_no origin destination date",
-    "int_flight_load": "flight_number date time",
-    "fact_sales": "slip_id product_key sales_type",
-    "fact_wastage": "flight_key_with_date product_key load_id",
-    "fact_pax": "flight_key travel_class",
-    "fact_items_load": "flight_key load_id product_key",
-    "fact_payments": "slip_id sales_type payment_type card_number_prefix",
-    "mart_fresh_food_order_sale": "flight_key item_id",
+    "int_flights": ("flight_no", "origin", "destination", "date"),
+    "int_flight_load": ("flight_number", "date", "time"),
+    "bridge_flight_load": ("flight_key",),
+    "fact_sales": ("slip_id", "product_key", "sales_type"),
+    "fact_wastage": ("flight_key_with_date", "product_key", "load_id"),
+    "fact_pax": ("flight_key", "travel_class"),
+    "fact_items_load": ("flight_key", "load_id", "product_key"),
+    "fact_payments": ("slip_id", "sales_type", "payment_type", "card_number_prefix"),
+    "mart_fresh_food_order_sale": ("flight_key", "item_id"),
 }
 
 _PARENTS = (
@@ -145,11 +180,13 @@ _BUSINESS = (
 )
 
 NOT_NULL: list[Rule] = [
-    *[NotNull(t, c) for t, columns in _PRESENT.items() for c in columns.split()],
+    *[NotNull(t, c) for t, columns in _PRESENT.items() for c in columns],
     NotNull("int_line_route", "load_id", "potential_error is null"),
 ]
 UNIQUE: list[Rule] = [Unique(t, (c,)) for t, c in _UNIQUE.items()]
-UNIQUE_TOGETHER: list[Rule] = [Unique(t, tuple(c.split())) for t, c in _UNIQUE_TOGETHER.items()]
+UNIQUE_TOGETHER: list[Rule] = [
+    Unique(t, c, combination=True) for t, c in _UNIQUE_TOGETHER.items()
+]
 RELATIONSHIPS: list[Rule] = [Relationship(*p) for p in _PARENTS]
 ACCEPTED: list[Rule] = [Accepted(*a) for a in _ACCEPTED]
 EXPRESSIONS: list[Rule] = [Expression(*e) for e in _TRUE]

@@ -31,7 +31,7 @@ def _failures(rule: Rule, prefix: str) -> str:
         return f"SELECT count(*) FROM {t} WHERE {rule.column} IS NULL{extra}"
     if isinstance(rule, Unique):
         columns = ", ".join(rule.columns)
-        present = f" WHERE {rule.columns[0]} IS NOT NULL" if len(rule.columns) == 1 else ""
+        present = f" WHERE {rule.columns[0]} IS NOT NULL" if rule.single else ""
         return f"SELECT count(*) FROM (SELECT 1 FROM {t}{present} GROUP BY {columns} HAVING count(*) > 1)"
     if isinstance(rule, Relationship):
         return (

@@ -279,6 +279,22 @@ def _deep(lab: Lab):
     return ev.deep_report(baseline(lab))
 
 
+@query(
+    "eval_auc",
+    """SELECT round(sum(pos * (coalesce(below, 0) + neg / 2.0)) / nullif(sum(pos) * sum(neg), 0), 9) AS auc FROM (
+         SELECT pos, neg, CAST(sum(neg) OVER (ORDER BY hist_avg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                               AS DOUBLE) AS below
+         FROM (SELECT hist_avg, CAST(count(*) FILTER (sold_quantity > 0) AS DOUBLE) AS pos,
+                      CAST(count(*) FILTER (sold_quantity <= 0) AS DOUBLE) AS neg
+               FROM fc_test WHERE hist_avg IS NOT NULL GROUP BY hist_avg))""",
+)
+def _auc(lab: Lab):
+    """How well the historical average ranks test rows with a sale above those without."""
+    test = folds.test_part(features(lab), lab.forecast.test_weeks).where("hist_avg is not null")
+    auc = ev.roc_auc(test.withColumn("sale_probability", F.col("hist_avg")))
+    return lab.spark.range(1).select(F.round(F.lit(auc), 9).alias("auc"))
+
+
 # Stored runs: the baseline decided at several cut-offs stands for a series of model versions.
 _CUTS = (0.4, 0.7, 0.2)
 
@@ -345,9 +361,10 @@ def _degradation(lab: Lab):
     # one row per stored run: a short series
     previous = F.lag("metric_value").over(Window.orderBy("run_id"))
     out = rows.select("run_id", F.col("metric_value").alias("accuracy"), previous.alias("previous"))
-    drop = (F.col("previous") - F.col("accuracy")) / F.nullif("previous", F.lit(0.0))
-    allowed = lab.forecast.degradation_threshold
-    return out.withColumn("degraded", F.coalesce(drop > allowed, F.lit(False)))
+    degraded = ev.degraded(
+        F.col("previous"), F.col("accuracy"), lab.forecast.degradation_threshold
+    )
+    return out.withColumn("degraded", degraded)
 
 
 @query(
@@ -487,16 +504,14 @@ def _inputs(lab: Lab):
     )
 
 
-def _scores(lab: Lab) -> DataFrame:
-    def build() -> DataFrame:
-        lookup = preparation.hist_lookup(features(lab))
-        products = fresh_products(lab.wh.ref("dim_products"))
-        scores = scoring.score(
-            _requests(lab), products, lookup, _model(lab), "low_missed_sales", lab.forecast
-        )
-        return overwrite(scores, f"{lab.root}/scores")
-
-    return lab.keep("scores", build)
+def _scores(lab: Lab, item: str | None = None) -> DataFrame:
+    products = fresh_products(lab.wh.ref("dim_products"))
+    if item is not None:
+        products = products.where(F.col("item_id") == item)
+    lookup = preparation.hist_lookup(features(lab))
+    return scoring.score(
+        _requests(lab), products, lookup, _model(lab), "low_missed_sales", lab.forecast
+    )
 
 
 @query("score_all")
@@ -513,7 +528,7 @@ def _score_item(lab: Lab):
     accuracy = ev.estimated_accuracy(
         read(f"{root}/model_metrics_by_item"), read(f"{root}/model_runs")
     )
-    return scoring.score_item(_scores(lab), item, accuracy)
+    return scoring.score_item(_scores(lab, item), item, accuracy)
 
 
 @query("score_category")

@@ -181,17 +181,17 @@ def _leg_dates(lab: Lab):
 
 
 def performance(lab: Lab):
-    return bi.mart_sales_performance(lab.legacy.model("fact_sales"), lab.legacy.ref("dim_date"))
+    return bi.mart_sales_performance(lab.legacy.ref("fact_sales"), lab.legacy.ref("dim_date"))
 
 
 def product_sales(lab: Lab):
-    return bi.mart_product_sales(lab.legacy.model("fact_sales"), lab.legacy.ref("dim_product"))
+    return bi.mart_product_sales(lab.legacy.ref("fact_sales"), lab.legacy.ref("dim_product"))
 
 
 def flight_sales(lab: Lab):
     ref = lab.legacy.ref
     return bi.mart_flight_sales(
-        lab.legacy.model("fact_sales"), ref("dim_flight"), ref("dim_date"), ref("fact_pax")
+        lab.legacy.ref("fact_sales"), ref("dim_flight"), ref("dim_date"), ref("fact_pax")
     )
 
 

@@ -125,6 +125,7 @@ class DriverTables:
     before anything reads them; staging then prunes columns and pushes filters into those files.
     """
 
+    JOIN_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
     RAW = (
         "sales",
         "payments",
@@ -161,16 +162,9 @@ class DriverTables:
         return self._derived[name]
 
     def _spread(self, name: str) -> DataFrame:
-        """A table to land raw datasets from.
-
-        The small test tables are one row group and so one task: those are spread over the cores.
-        Tables with at least as many splits as cores are read as they are, without a shuffle.
-        """
+        """A table to land raw datasets from; the two big ones are dealt by the key they are joined on."""
         df = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        if self.root and name in ("lineitem", "orders") and df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-        return df
+        return df.repartition(self.JOIN_KEY[name]) if self.root and name in self.JOIN_KEY else df
 
     def raw(self) -> Mapping[str, DataFrame]:
         """The raw datasets and seeds under the names the warehouse expects, landed on first use."""

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 SAMPLE_ROWS = 5
 
@@ -11,6 +11,12 @@ def overwrite(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write lies at the path, in whatever store Spark reaches."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 def append_or_replace(df: DataFrame, root: str, table: str) -> str:
     """Lookup tables are replaced, every other table grows."""
     path = f"{root.rstrip('/')}/{table}"

@@ -230,6 +230,28 @@ def test_neighbours_against_brute_force(spark, monkeypatch, slice_points):
             assert math.isclose(got[k][tuple(q)], total / k, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("slice_points", [20_000, 1])
+def test_equally_far_points_do_not_depend_on_slices(spark, monkeypatch, slice_points):
+    """Of four points at one distance the one with most rows comes first, then the one with the larger sum."""
+    monkeypatch.setattr(neighbours, "SLICE_POINTS", slice_points)
+    rows = [([1.0, 0.0], 1), ([0.0, 1.0], 5), ([-1.0, 0.0], 2)] + [([0.0, -1.0], 10)] * 2 + [([3.0, 3.0], None)]
+    known = spark.createDataFrame(rows, "point array<double>, y int")
+    asked = spark.createDataFrame([([0.0, 0.0],)], "point array<double>")
+    got = neighbours.nearest_means(known, asked, (1, 2, 3), "y").first()
+    assert (got.knn_1, got.knn_2) == (10.0, 10.0)
+    assert math.isclose(got.knn_3, 25 / 3)
+
+
+def test_half_written_runs_are_passed_over(spark):
+    metrics = spark.createDataFrame(
+        [(1, "accuracy", 0.5), (2, "accuracy", 0.9)], "run_id int, metric_name string, metric_value double"
+    )
+    runs = spark.createDataFrame([(1, "low_wastage")], "run_id int, threshold_type string")
+    assert ev.latest_accuracy(metrics, runs) == 0.5
+    assert ev.latest_accuracy(metrics, runs, "other") is None
+    assert ev.next_run_id(runs, metrics, None) == 3 and ev.next_run_id(None) == 1
+
+
 def test_tuning_ranks_settings(spark, lab):
     assert len(models.boosting_grid()) == 27
     features = preparation.build_features(
