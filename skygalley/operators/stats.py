@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skygalley.functions import half_even, ratio
 
 PERCENTILES = (0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
+# Ranges that the distinct values are dealt over; each is numbered by itself.
+RANGES = 256
+
 
 def _rows(one_row: DataFrame, entries: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*entries)))
@@ -36,6 +39,39 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return out
 
 
+def _percentiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
+    """One row with the array ``q``: exact, interpolated quantiles; null without values.
+
+    Values are grouped to (value, count) and dealt over ranges of about equally many distinct values,
+    whose borders come from a sketch of fixed size. Counts are summed up within each range, and once over
+    the ranges, so no task or driver holds all values. The borders only deal; the result is exact.
+    """
+    x = F.col(column).cast("double")
+    counts = df.where(x.isNotNull()).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    inner = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    borders = counts.agg(F.approx_percentile("value", inner, 10 * RANGES)).scalar()
+    # place among the sorted borders: one more than the number of smaller borders
+    place = F.array_position(F.sort_array(F.array_append(borders, F.col("value"))), F.col("value"))
+    dealt = counts.withColumn("range", place)
+    # at most RANGES rows: this window is small by construction
+    sizes = dealt.groupBy("range").agg(F.sum("n").alias("size"))
+    before = F.sum("size").over(Window.orderBy("range")) - F.col("size")
+    sizes = sizes.select("range", before.alias("before"), F.sum("size").over(Window.partitionBy()).alias("total"))
+    inside = F.sum("n").over(Window.partitionBy("range").orderBy("value"))
+    ranked = dealt.withColumn("inside", inside).join(sizes, "range")
+    upto = F.col("before") + F.col("inside")
+    picks, values = [], []
+    for i, p in enumerate(points):
+        at = F.lit(p) * (F.col("total") - 1)
+        for end, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
+            hit = (upto - F.col("n") <= rank) & (rank < upto)
+            picks.append(F.max(F.when(hit, F.col("value"))).alias(f"{end}{i}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"share{i}"))
+        low, high, share = F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"share{i}")
+        values.append(low * (1 - share) + high * share)
+    return ranked.agg(*picks).select(F.array(*values).alias("q"))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles (interpolated) of each numeric column."""
     aggs, entries = [], []
@@ -47,8 +83,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.stddev_samp(x).alias(f"{c}_std"),
             F.min(x).alias(f"{c}_min"),
             F.max(x).alias(f"{c}_max"),
-            F.percentile(c, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])).alias(f"{c}_q"),
         ]
+        quartiles = _percentiles(df, c, (0.25, 0.5, 0.75)).scalar()
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -56,9 +92,9 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.col(f"{c}_mean").alias("mean"),
                 F.col(f"{c}_std").alias("std"),
                 F.col(f"{c}_min").alias("min"),
-                F.col(f"{c}_q")[0].alias("q25"),
-                F.col(f"{c}_q")[1].alias("median"),
-                F.col(f"{c}_q")[2].alias("q75"),
+                quartiles[0].alias("q25"),
+                quartiles[1].alias("median"),
+                quartiles[2].alias("q75"),
                 F.col(f"{c}_max").alias("max"),
             )
         )
@@ -96,7 +132,7 @@ def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def quantiles(df: DataFrame, column: str, points: Sequence[float] = PERCENTILES) -> DataFrame:
     """Exact, interpolated quantiles, one row each."""
-    one = df.agg(F.percentile(column, F.array(*[F.lit(p) for p in points])).alias("q"))
+    one = _percentiles(df, column, points)
     entries = [
         F.struct(F.lit(p).alias("point"), F.col("q")[i].alias("value")) for i, p in enumerate(points)
     ]
@@ -104,7 +140,7 @@ def quantiles(df: DataFrame, column: str, points: Sequence[float] = PERCENTILES)
 
 
 def iqr_bounds(df: DataFrame, column: str) -> DataFrame:
-    one = df.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    one = _percentiles(df, column, (0.25, 0.75))
     spread = F.col("q")[1] - F.col("q")[0]
     return one.select(
         (F.col("q")[0] - 1.5 * spread).alias("lower"), (F.col("q")[1] + 1.5 * spread).alias("upper")

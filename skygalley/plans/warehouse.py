@@ -17,6 +17,7 @@ from skygalley import functions as fn
 from skygalley.config import UNKNOWN, WarehouseConfig
 from skygalley.operators.cleaning import first_per_key
 from skygalley.plans import staging
+from skygalley.sources.sinks import overwrite, overwrite_by_month
 
 FLIGHT = ["flight_no", "date"]
 
@@ -512,15 +513,30 @@ TABLES = (
     "mart_fresh_food_order_sale",
     "mart_pax_sales",
 )
-# Read by five later models: written once, or every one of them would scan all six sources again.
-STORED_INTERMEDIATE = ("int_flights",)
+# Read by several later models: written once, or every one of them would scan, look up and make distinct again.
+STORED_INTERMEDIATE = (
+    "stg_items_load",
+    "stg_pax",
+    "stg_payments",
+    "stg_sales",
+    "stg_schedule",
+    "stg_wastage",
+    "int_flights",
+)
+# Tables of dated rows: stored in one folder per month. The other facts carry keys only.
+BY_MONTH = (
+    *STORED_INTERMEDIATE,
+    "fact_pax",
+    "mart_fresh_food_order_sale",
+    "mart_pax_sales",
+)
 
 
 class Warehouse:
     """Names the models and wires each to its inputs.
 
     ``model(name)`` is the plan of a model. ``ref(name)`` is what another model reads: a view for
-    staging and intermediate models, the written table for the rest when ``root`` is given. A table
+    small staging and intermediate models, the written table for the rest when ``root`` is given. A table
     on shared storage survives lost executors, and its file size lets Spark choose broadcast joins
     while planning.
     """
@@ -610,8 +626,7 @@ class Warehouse:
             df = self.model(name)
             if self.root and name in (*TABLES, *STORED_INTERMEDIATE):
                 path = f"{self.root}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                df = self.spark.read.parquet(path)
+                df = overwrite_by_month(df, path) if name in BY_MONTH else overwrite(df, path)
             self._refs[name] = df
         return self._refs[name]
 

@@ -1,7 +1,7 @@
 """Forecast: preparation, folds, models, evaluation and scoring on the fresh-food mart.
 
-Queries with SQL are exact. Those that train a model are checked by their rows only, and train with
-fewer boosting rounds than the default so that a check takes seconds; the data is always whole.
+Queries with SQL are exact. Those that train a model are checked by their rows only; settings are the
+engine's defaults and the data is always whole.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from skygalley.operators.cleaning import drop_columns
 from skygalley.sources.schemas import RAW_DATASETS, SEEDS
+from skygalley.sources.sinks import MONTH, month_key
 
 
 def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
@@ -79,8 +80,11 @@ def read_seed(spark: SparkSession, path: str, seed: str) -> DataFrame:
 
 
 def read_mart_since(spark: SparkSession, path: str, since: str, column: str = "date") -> DataFrame:
-    """A mart from a day on; the comparison is pushed into the Parquet scan."""
-    return spark.read.parquet(path).where(F.col(column) >= F.to_date(F.lit(since)))
+    """A mart from a day on: months before it are never listed for the scan, and the day is pushed into it."""
+    mart, day = spark.read.parquet(path), F.to_date(F.lit(since))
+    if column == "date" and MONTH in mart.columns:
+        mart = mart.where(F.col(MONTH) >= month_key(day)).drop(MONTH)
+    return mart.where(F.col(column) >= day)
 
 
 def read_jdbc_table(

@@ -1,9 +1,14 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_ROWS = 5
 
+# Folder column of tables stored by month: year and month as one number (202603).
+MONTH = "month_key"
+
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace a table and return it as stored."""
@@ -11,6 +16,24 @@ def overwrite(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def month_key(day: Column) -> Column:
+    return F.year(day) * 100 + F.month(day)
+
+
+def overwrite_by_month(df: DataFrame, path: str, column: str = "date") -> DataFrame:
+    """Replace a table, one folder per month of a date or of a day number (20260315); return it as stored.
+
+    The folder column is not part of what is returned. Rows are dealt by month before the write, so that a month is
+    few files; a large month is split again by its size. As a file holds one month, a comparison with a day also
+    skips files by their statistics.
+    """
+    is_date = isinstance(df.schema[column].dataType, T.DateType)
+    month = month_key(F.col(column)) if is_date else F.floor(F.col(column) / 100).cast("int")
+    dealt = df.withColumn(MONTH, month).hint("rebalance", F.col(MONTH))
+    dealt.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).drop(MONTH)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished write lies at the path, in whatever store Spark reaches."""
     done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
