@@ -11,22 +11,17 @@ from pyspark.sql import functions as F
 from skygalley.llm import dedup, jaccard, language, packing, substring
 from skygalley.llm.exchange import materialize, with_row_id
 
-# Least share of a text's 3-grams that its language must hold.
-MIN_SCORE = 0.2
 END_ID = 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages. Null texts, texts without letters and texts whose best language holds
-    less than ``MIN_SCORE`` of their 3-grams go; without any label to learn from only the former do."""
+    """Documents in some language, also one that few rows or none are labelled with: only null texts and texts without
+    letters go."""
     model = language.learn(docs)
-    names = ["lang_pred", "score"]
-    while set(names) & set(docs.columns):
-        names = [f"_{n}" for n in names]
     columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
     rows = docs.select("doc_id", "text", *columns)
     found = language.identify(rows, model, carry=[f"c{i}" for i in range(len(docs.columns))])
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    known = F.col("lang_pred") != language.UNKNOWN
     if not model.languages:
         known = F.col(f"c{docs.columns.index('text')}").rlike(r"\p{L}")
     return found.where(known).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

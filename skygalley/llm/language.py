@@ -24,6 +24,9 @@ from skygalley.llm.words import mix, slices
 SAMPLE_DOCS = 1500
 # A 3-gram belongs to the languages in which it is at least this share as frequent as where it is most frequent.
 MIN_SHARE = 0.5
+# And if it occurs there once for every so many 3-grams of the language's sample, MIN_COUNT times at most: a small sample
+# gives all that it has.
+GRAMS_PER_COUNT = 20_000
 MIN_COUNT = 3
 HASHES = 3
 # Slots per 3-gram, and most slots.
@@ -153,12 +156,14 @@ def learn(
 
     counts = sample.mapInArrow(count, "lang string, gram long, n long")
     per_gram = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    rate = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
-    most = F.max("rate").over(Window.partitionBy("gram"))
+    # What few occurrences say of a frequency is little: as the largest counts what it is less one standard error, so
+    # that a language of a few rows does not take 3-grams from the others.
+    surely = F.max((F.col("n") - F.sqrt("n")) / F.col("total")).over(Window.partitionBy("gram"))
+    least = F.least(F.lit(MIN_COUNT), F.ceil(F.col("total") / GRAMS_PER_COUNT))
     chosen = (
-        per_gram.withColumn("rate", rate)
-        .withColumn("most", most)
-        .where((F.col("n") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("most")))
+        per_gram.withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
+        .withColumn("most", surely)
+        .where((F.col("n") >= least) & (F.col("n") / F.col("total") >= MIN_SHARE * F.col("most")))
         .select("lang", "gram")
         .collect()
     )

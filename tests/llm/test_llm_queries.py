@@ -14,7 +14,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 import corpus_pipeline  # noqa: E402
 from oracle_compare import compare, connect  # noqa: E402
 
-from skygalley.llm import registry  # noqa: E402
+from skygalley.llm import language, registry  # noqa: E402
 
 TABLES = "/root/testdata/sf0.001"
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
@@ -90,3 +90,24 @@ def test_pipeline_keeps_clean_documents(spark):
     run = corpus_pipeline.run(spark, TABLES)
     assert run.where(F.col("length") > 1024).count() == 0
     assert run.select("doc_id").distinct().count() <= before
+
+
+RARE = {
+    "el": ["Η γρήγορη αλεπού πηδά πάνω από το σκυλί", "Το σπίτι είναι κοντά στη θάλασσα", "Σήμερα έχει καλό καιρό"],
+    "fi": ["Nopea kettu hyppää laiskan koiran yli", "Talo on lähellä merta ja metsää"],
+    "ja": ["速い狐は怠け者の犬を飛び越える", "家は海の近くにあります"],
+}
+
+
+def test_language_id_keeps_rare_languages(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text", "lang")
+    learned = [r[0] for r in spark.range(900_000, 900_100).where(~language.held_out(F.col("id"))).collect()]
+    labelled = [(t, k) for k, v in RARE.items() for t in v]
+    rows = [(learned[i], t, k) for i, (t, k) in enumerate(labelled)]
+    unlabelled = [(900_200, "நாய் வேகமாக ஓடுகிறது", None), (900_201, "123 ...", None), (900_202, None, "el")]
+    docs = docs.union(spark.createDataFrame([*rows, *unlabelled], "doc_id long, text string, lang string"))
+    found = language.identify(docs, language.learn(docs), carry=["lang"]).where("doc_id >= 900000").collect()
+    got = {r["doc_id"]: r for r in found}
+    assert all(got[i]["lang_pred"] == k and got[i]["score"] > 0.5 for i, _, k in rows)
+    kept = corpus_pipeline.language_id(spark, docs, TABLES).where("doc_id >= 900000")
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, _, _ in rows} | {900_200}
