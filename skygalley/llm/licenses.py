@@ -10,6 +10,7 @@ a notice is found wherever it stands; only documents that hold a prefix token ar
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,24 +28,84 @@ PHRASES = {
     "gpl": ("general", "public", "license"),
     "reserved": ("all", "rights", "reserved"),
 }
-# Sentences of widely used public licenses and their notices; none longer than BLOCK - STEP words.
+# Lines that name a license, and the clauses of widely used license texts and notices.
+# None is longer than STEP words, so one window serves all.
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license version 2 0",
+    "apache-notice": (
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+        "on an as is basis without warranties or conditions of any kind"
+    ),
+    # Of the MIT and of the BSD text.
+    "as-is-warranty": (
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement"
+    ),
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted "
         "provided that the following conditions are met"
     ),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+        "following disclaimer in the documentation and or other materials provided with the distribution"
+    ),
+    "bsd-liability": (
+        "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special "
+        "exemplary or consequential damages including but not limited to procurement of substitute goods"
+    ),
+    "bsd-source": (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer"
+    ),
     "cc-by-nc": "licensed under cc by nc",
+    # Of the GPL and its kin.
+    "gnu-notice": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation"
+    ),
+    "gnu-warranty": (
+        "this program is distributed in the hope that it will be useful but without any warranty without even the "
+        "implied warranty of merchantability or fitness for a particular purpose"
+    ),
     "gnu-gpl": "this work is licensed under the gnu general public license version",
     "mit": "released under the mit license",
+    "mit-liability": (
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether "
+        "in an action of contract tort or otherwise arising from"
+    ),
+    "mit-notice": (
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the software"
+    ),
+    "mit-rights": (
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge "
+        "publish distribute sublicense and or sell copies of the software"
+    ),
     "mit-text": (
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
         "and associated documentation files"
     ),
     "mpl": "this source code form is subject to the terms of the mozilla public license",
+    "mpl-notice": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+        "distributed with this file"
+    ),
 }
 
 
+def window(template: str) -> tuple[int, int]:
+    """Words of a block and of the step to the next, such that some block holds the template wherever it stands."""
+    n = len(template.split())
+    return (BLOCK, STEP) if n <= min(STEP, BLOCK - STEP) else (2 * n, n)
+
+
+def _checked(template: str) -> set[str]:
+    words = template.split()
+    if not words or any(re.search(SEPARATORS + "|[A-Z]", w) for w in words):
+        raise ValueError(f"a template is words in lower case with spaces between, not {template!r}")
+    return set(words)
+
+
 def _among(words: str, some: set[str]) -> str:
     listed = ", ".join(f"'{w}'" for w in sorted(some))
     return f"{words} in ({listed})"
@@ -81,12 +142,14 @@ def scan(
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Words are runs of letters A-Z (lowered), digits and non-ASCII characters. A phrase counts at every place where its words
-    stand side by side. A template's label is added if some block of BLOCK words, taken every STEP words, holds
-    at least ``containment`` of its distinct words. Labels are sorted and joined by commas, empty if none. score is 1 with a
+    stand side by side. A template's label is added if some block of its ``window`` (BLOCK words, taken every STEP words, or
+    more for a template above STEP words) holds at least ``containment`` of its distinct words. Labels are sorted and joined by commas, empty if none. score is 1 with a
     phrase, else the largest containment among added templates, else 0. Null and empty texts have no words. Repeated rows
     are judged each. Other columns are ignored.
     """
-    sets = {label: set(words.split()) for label, words in templates.items()}
+    sets = {label: _checked(words) for label, words in templates.items()}
+    windows = sorted({window(words) for words in templates.values()})
+    own_window = {label: windows.index(window(words)) for label, words in templates.items()}
     need = {label: math.ceil(containment * len(s) - 1e-9) for label, s in sets.items()}
     vocabulary = set().union(*sets.values())
     frequency = token_frequencies(docs, vocabulary.union(*phrases.values()), text)
@@ -107,12 +170,18 @@ def scan(
         ).alias("words"),
     )
     ranks = ", ".join(f"'{t}', {r}" for t, r in rank.items())
-    block = f"slice(words, s + 1, {BLOCK})"
-    tokens = f"array_sort(array_distinct(transform(filter({block}, w -> {_among('w', vocabulary)}), w -> map({ranks})[w])))"
     least = min(need.values())
     some_rare = " or ".join(f"array_contains(b.tokens, {rank[t]})" for t in sorted(rare))
-    cut = f"transform(sequence(0, greatest(size(words) - 1, 0), {STEP}), s -> struct(s as start, {tokens} as tokens))"
-    blocks = f"filter({cut}, b -> size(b.tokens) >= {least} and ({some_rare}))"
+
+    def blocks_of(number: int) -> str:
+        size, step = windows[number]
+        inside = f"filter(slice(words, s + 1, {size}), w -> {_among('w', vocabulary)})"
+        tokens = f"array_sort(array_distinct(transform({inside}, w -> map({ranks})[w])))"
+        starts = f"sequence(0, greatest(size(words) - 1, 0), {step})"
+        return f"transform({starts}, s -> struct({number} as window, {tokens} as tokens))"
+
+    cut = ", ".join(blocks_of(i) for i in range(len(windows)))
+    blocks = f"filter(concat({cut}), b -> size(b.tokens) >= {least} and ({some_rare}))"
     places = [F.expr(_starts(p)).alias(f"at_{i}") for i, p in enumerate(phrases.values())]
     found = counted.select(
         F.monotonically_increasing_id().alias("row"),
@@ -125,21 +194,21 @@ def scan(
 
     spark = docs.sparkSession
     rows = [
-        (label, ordered[label], len(ordered[label]), need[label], token, place)
+        (label, own_window[label], ordered[label], len(ordered[label]), need[label], token, place)
         for label in sets
         for place, token in enumerate(prefix[label])
     ]
     probes = spark.createDataFrame(
-        rows, "label string, template array<int>, m int, need int, token int, template_place int"
+        rows, "label string, window int, template array<int>, m int, need int, token int, template_place int"
     )
     block_tokens = (
         found.where("size(blocks) > 0")
         .select("row", F.explode("blocks").alias("b"))
-        .select("row", "b.start", "b.tokens")
-        .select("row", "start", "tokens", F.posexplode("tokens").alias("place", "token"))
+        .select("row", "b.window", "b.tokens")
+        .select("row", "window", "tokens", F.posexplode("tokens").alias("place", "token"))
         .where(f"place <= size(tokens) - {least}")
     )
-    met = block_tokens.join(probes, "token").where(
+    met = block_tokens.join(probes, ["token", "window"]).where(
         "size(tokens) >= need and 1 + least(size(tokens) - place - 1, m - template_place - 1) >= need"
     )
     overlap = F.size(F.array_intersect("tokens", "template"))

@@ -642,3 +642,57 @@ def test_license_scan(spark, edge, repeated, empty, real):
 def test_license_scan_is_native(edge):
     plan = licenses.scan(edge)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct", plan)
+
+
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+    "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+    "notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+)
+MIT_END = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY."
+)
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+    "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+)
+
+
+def test_license_parts_of_texts(spark):
+    pad = "x " * 45
+    rows = [(1, MIT), (2, pad + MIT_END), (3, pad + BSD_END), (4, pad + GPL)]
+    df = spark.createDataFrame(rows_of([(i, t, "en", "a") for i, t in rows]), COLUMNS)
+    assert sorted((tuple(r) for r in licenses.scan(df).collect()), key=repr) == brute_scan(rows)
+    labels = {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()}
+    assert labels == {
+        1: "mit-notice,mit-rights,mit-text",
+        2: "as-is-warranty,mit-liability",
+        3: "as-is-warranty,bsd-liability",
+        4: "gnu-gpl,gnu-notice,gnu-warranty,gpl",
+    }
+
+
+def test_license_templates_of_any_length(spark):
+    long = " ".join(f"t{i}" for i in range(90))
+    middle = " ".join(f"m{i}" for i in range(50))
+    rows = [(i, "x " * i + f"{long} " + "y " * 33 + middle) for i in (0, 17, 31, 50, 89, 120)]
+    df = spark.createDataFrame(rows_of([(i, t, "en", "a") for i, t in rows]), COLUMNS)
+    found = licenses.scan(df, templates={"long": long, "middle": middle, "short": "t1 t2"}).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in found} == {i: ("long,middle,short", 1.0) for i, _ in rows}
+    for wrong in ("", "Upper case", "full stop."):
+        with pytest.raises(ValueError):
+            licenses.scan(df, templates={"wrong": wrong})
