@@ -28,10 +28,10 @@ PHRASES = {
     "gpl": ("general", "public", "license"),
     "reserved": ("all", "rights", "reserved"),
 }
-# Lines that name a license, and the clauses of widely used license texts and notices.
+# Names of licenses, short enough that all their words are needed, and the clauses of widely used license texts and notices.
 # None is longer than STEP words, so one window serves all.
 TEMPLATES = {
-    "apache-2.0": "licensed under the apache license version 2 0",
+    "apache-2.0": "apache license 2 0",
     "apache-notice": (
         "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
         "on an as is basis without warranties or conditions of any kind"
@@ -57,7 +57,7 @@ TEMPLATES = {
         "redistributions of source code must retain the above copyright notice this list of conditions and the "
         "following disclaimer"
     ),
-    "cc-by-nc": "licensed under cc by nc",
+    "cc-by-nc": "cc by nc",
     # Of the GPL and its kin.
     "gnu-notice": (
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
@@ -67,8 +67,8 @@ TEMPLATES = {
         "this program is distributed in the hope that it will be useful but without any warranty without even the "
         "implied warranty of merchantability or fitness for a particular purpose"
     ),
-    "gnu-gpl": "this work is licensed under the gnu general public license version",
-    "mit": "released under the mit license",
+    "gnu-gpl": "gnu general public license",
+    "mit": "under mit license",
     "mit-liability": (
         "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether "
         "in an action of contract tort or otherwise arising from"
@@ -85,7 +85,7 @@ TEMPLATES = {
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
         "and associated documentation files"
     ),
-    "mpl": "this source code form is subject to the terms of the mozilla public license",
+    "mpl": "mozilla public license",
     "mpl-notice": (
         "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
         "distributed with this file"
@@ -143,7 +143,8 @@ def scan(
 
     Words are runs of letters A-Z (lowered), digits and non-ASCII characters. A phrase counts at every place where its words
     stand side by side. A template's label is added if some block of its ``window`` (BLOCK words, taken every STEP words, or
-    more for a template above STEP words) holds at least ``containment`` of its distinct words. Labels are sorted and joined by commas, empty if none. score is 1 with a
+    more for a template above STEP words) holds at least ``containment`` of its distinct words, which is all of them up to
+    four. Labels are sorted and joined by commas, empty if none. score is 1 with a
     phrase, else the largest containment among added templates, else 0. Null and empty texts have no words. Repeated rows
     are judged each. Other columns are ignored.
     """

@@ -696,3 +696,19 @@ def test_license_templates_of_any_length(spark):
     for wrong in ("", "Upper case", "full stop."):
         with pytest.raises(ValueError):
             licenses.scan(df, templates={"wrong": wrong})
+
+
+def test_license_names_of_others(spark):
+    lines = {
+        "licensed under cc by 4.0": "cc-by",
+        "released under the bsd license": "",
+        "licensed under the Mozilla Public License, version 2.0": "mpl",
+        "this work is licensed under the Eclipse Public License version 2.0": "",
+        "released under the MIT license": "mit",
+        "licensed under MIT license": "mit",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0",
+        "licensed under cc by-nc 4.0": "cc-by,cc-by-nc",
+        "this work is licensed under the gnu general public license version 3": "gnu-gpl,gpl",
+    }
+    df = spark.createDataFrame(rows_of([(i, t, "en", "a") for i, t in enumerate(lines)]), COLUMNS)
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()} == dict(enumerate(lines.values()))
