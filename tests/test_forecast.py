@@ -260,3 +260,10 @@ def test_tuning_ranks_settings(spark, lab):
     grid = [BoostingConfig(iterations=1, depth=2), BoostingConfig(iterations=2, depth=2)]
     got = models.tune(features, CFG, grid).collect()
     assert [r.iterations for r in got] == [1, 2] and all(r.log_loss > 0 for r in got)
+
+
+def test_published_rounds_are_the_default(spark):
+    cfg = ForecastConfig()
+    published = BoostingConfig(iterations=500, learning_rate=0.05, depth=6, random_seed=42)
+    assert cfg.classifier == cfg.regressor == published
+    assert models._boosting(models.GBTClassifier, cfg.classifier, "sells").getMaxIter() == 500
