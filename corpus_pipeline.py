@@ -30,6 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal but for the case of A-Z, the row with the largest doc_id."""
     rows, row = with_row_id(docs)
+    # Written with the numbers: file splits, and so the numbers, may differ between jobs.
+    rows = materialize(rows, "numbered")
     kept = dedup.exact_copies(rows, carry=[row]).where("kept").select(row)
     return rows.join(kept, row, "left_semi").select(*docs.columns)
 

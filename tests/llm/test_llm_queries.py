@@ -111,3 +111,10 @@ def test_language_id_keeps_rare_languages(spark):
     assert all(got[i]["lang_pred"] == k and got[i]["score"] > 0.5 for i, _, k in rows)
     kept = corpus_pipeline.language_id(spark, docs, TABLES).where("doc_id >= 900000")
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, _ in rows} | {900_200}
+
+
+def test_exact_dedup_numbers_rows_once(spark, tmp_path):
+    edge_docs(spark).write.parquet(str(tmp_path / "docs"))
+    kept = corpus_pipeline.exact_dedup(spark, spark.read.parquet(str(tmp_path / "docs")), TABLES)
+    assert "monotonically_increasing_id() AS _row_id" not in kept._jdf.queryExecution().toString()
+    assert kept.count() == 6
