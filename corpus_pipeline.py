@@ -77,7 +77,8 @@ STAGES = [
     ("substring_dedup", substring_dedup),
     ("best_fit_packing", best_fit_packing),
 ]
-# Language models and tokenizers are beyond SQL; the stages are tested against brute force.
+# Language models and tokenizers are beyond SQL; their operators are tested (most against brute force), the
+# stages on edge cases only.
 ORACLE_SQL = None
 
 
