@@ -100,9 +100,58 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(f.n, 0) AS n_base, f.first_word,
 FROM words w LEFT JOIN found f USING (doc_id) LEFT JOIN best b USING (doc_id)
 """
 
+WARC = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+# CRC-32 of a decimal number's characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda v, _: xor(v >> 1, (v & 1) * 3988292384))))"""
+
+TRIE = f"""
+WITH own AS (
+  SELECT conv_id AS c, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), sized AS (
+  SELECT c, l, ({_CRC32} % 4)::BIGINT AS h FROM own
+), rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.l[1:a.h], []), a.l[a.h + 1:]) AS l FROM sized a LEFT JOIN own b ON b.c = a.c - a.c % 20
+), beginnings AS (
+  SELECT c, d, l[1:d] AS p, len(l) = d AS ends FROM (SELECT c, l, unnest(generate_series(0, len(l))) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), ''))
+    AS ends_sha256 FROM beginnings GROUP BY d, p
+), families AS (
+  SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children, CASE WHEN n.d = 0 THEN 0 ELSE
+    (n.n_convs - 1) * len(regexp_extract_all(n.p[n.d].x, '{_WORD}')) END AS saved
+  FROM nodes n LEFT JOIN families f ON f.d = n.d AND f.p = n.p
+), ancestors AS (
+  SELECT a, p[1:a] AS ap, n_children, saved FROM (SELECT *, unnest(generate_series(0, d)) AS a FROM counted)
+), sums AS (
+  SELECT a, ap, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM ancestors GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s ON s.a = n.d AND s.ap = n.p LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]
+"""
+
 SQL = {
     "op2_ngram_jaccard": JACCARD,
     "op7_exact_dedup": EXACT,
     "op9_substring_dedup": SUBSTRING,
     "op10_license_scan": LICENSES,
+    "op11_warc": WARC,
+    "op13_conversation_trie": TRIE,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from fractions import Fraction
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygalley.llm import (
@@ -17,9 +17,12 @@ from skygalley.llm import (
     licenses,
     neighbours,
     packing,
+    periods,
     sharding,
     substring,
     tokenfiles,
+    trie,
+    warc,
 )
 from skygalley.llm.oracle import SQL
 from skygalley.session import new_table_root
@@ -101,6 +104,73 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_documents(spark, sf_dir))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{new_table_root(spark)}/archives"
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    captures = warc.resolve_revisits(warc.assemble(warc.read_records(spark, path, payloads=False)))
+    copies = captures.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return copies.select(
+        F.get("metadata", F.lit(0))["fields"]["page-id"].cast("long").alias("page_id"),
+        F.coalesce("origin.response.payload_bytes", "response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.get("origin.metadata", F.lit(0))["fields"]["page-id"].cast("long").alias("refers_to"),
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum of its id, repeats a part of itself from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", checksum.alias("h"))
+
+    def repeated(w: Column) -> Column:
+        n, g = F.size(w), F.floor(F.col("h") / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        words = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(words, " "))
+
+    # one step of a transform: the words are split once
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    planted = F.transform(F.array(words), repeated)[0]
+    return rows.select("doc_id", F.when(F.col("h") % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.collapse_runs(planted_periods(_documents(spark, sf_dir)))
+    longest_first = lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))
+    best = F.array_max(F.transform("runs", longest_first))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "kept_text")
+    start, length, period = -F.col("best.s"), F.col("best.n"), -F.col("best.p")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def rebuilt_conversations(convs: DataFrame) -> DataFrame:
+    """Conversations that share beginnings: up to three first turns are those of every twentieth conversation."""
+    heads = convs.where("conv_id % 20 = 0")
+    heads = heads.select(F.col("conv_id").alias("of"), F.slice(trie.TURNS, 1, 3).alias("head"))
+    met = convs.join(heads, F.col("conv_id") - F.col("conv_id") % 20 == F.col("of"), "left")
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    head = F.coalesce(F.slice("head", F.lit(1), h), F.slice(trie.TURNS, 1, 0))
+    own = F.slice(trie.TURNS, h + 1, F.size(trie.TURNS))
+    return met.select("conv_id", F.concat(head, own).alias(trie.TURNS))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = trie.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return trie.prefix_trie(rebuilt_conversations(convs)).drop("last_turn")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_language_id,
@@ -113,6 +183,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_substring_dedup,
         op10_license_scan,
+        op11_warc,
+        op12_periodic_runs,
+        op13_conversation_trie,
     ]
     return {f.__name__: f for f in found}
 
