@@ -24,6 +24,10 @@ class BoostingConfig:
     learning_rate: float = 0.05
     depth: int = 6
     random_seed: int = 42
+    # The number of rounds, up to ``iterations``, is the one with the least loss on the last weeks of the training part; the
+    # search for it ends when so many further rounds brought no less. None runs all rounds and holds no weeks back.
+    early_stop_weeks: int | None = 2
+    early_stop_patience: int = 20
 
 
 @dataclass(frozen=True)

@@ -1,85 +1,72 @@
-"""Two-stage model on Spark ML: does the item sell at all, and if so how many."""
+"""Two-stage model on Spark ML: does the item sell at all, and if so how many.
+
+Both stages are fitted on weighted feature points and stop early; both score distinct feature points only.
+"""
 
 from __future__ import annotations
 
 import dataclasses
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import (
-    SQLTransformer,
-    StandardScaler,
-    StringIndexer,
-    TargetEncoder,
-    VectorAssembler,
-)
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygalley.config import BoostingConfig, ForecastConfig
-from skygalley.forecast.folds import test_part, train_part
+from skygalley.forecast.encoding import CategoryMeans, encode_points, feature_columns, weighted_points, with_vector
+from skygalley.forecast.folds import cutoff, test_part, train_part
 from skygalley.functions import floor_threshold, non_negative_int
-
-# Below every real average: rows without history form the lowest group, as in the published model.
-NO_HISTORY = -1.0
+from skygalley.operators.joins import join_null_safe
+from skygalley.session import new_table_root
+from skygalley.sources.sinks import overwrite
 
 
 @dataclass(frozen=True)
-class TwoStageModel:
-    classifier: PipelineModel
-    regressor: PipelineModel
+class StageModel:
+    """Trees over encoded points, and the means that encode them."""
 
-    def save(self, path: str) -> None:
-        self.classifier.write().overwrite().save(f"{path}/classifier")
-        self.regressor.write().overwrite().save(f"{path}/regressor")
+    trees: GBTClassificationModel | GBTRegressionModel
+    means: CategoryMeans
 
-    @staticmethod
-    def load(path: str) -> TwoStageModel:
-        return TwoStageModel(
-            PipelineModel.load(f"{path}/classifier"), PipelineModel.load(f"{path}/regressor")
-        )
+    def save(self, path: str) -> None:
+        self.trees.write().overwrite().save(f"{path}/trees")
+        overwrite(self.means.table, f"{path}/means")
 
 
-def _prepared(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    filled = [
-        F.coalesce(F.col(c).cast("double"), F.lit(NO_HISTORY)).alias(f"{c}_num") for c in cfg.numerical
-    ]
-    return df.select("*", *filled)
+@dataclass(frozen=True)
+class TwoStageModel:
+    classifier: StageModel
+    regressor: StageModel
 
+    def save(self, path: str) -> None:
+        self.classifier.save(f"{path}/classifier")
+        self.regressor.save(f"{path}/regressor")
 
-def _encoding(cfg: ForecastConfig, target_type: str, label: str) -> list:
-    """Categories as smoothed target means: any number of items or routes, no bins per category."""
-    indexed = [f"{c}_idx" for c in cfg.categorical]
-    encoded = [f"{c}_enc" for c in cfg.categorical]
-    # The encoder leaves the category marks of its input on its output; a sum drops them, so that
-    # the trees take the means as numbers and need no bin per category.
-    numbers = ", ".join(f"{c}_enc + 0D AS {c}_mean" for c in cfg.categorical)
-    means = [f"{c}_mean" for c in cfg.categorical]
-    return [
-        StringIndexer(inputCols=list(cfg.categorical), outputCols=indexed, handleInvalid="keep"),
-        TargetEncoder(
-            inputCols=indexed,
-            outputCols=encoded,
-            labelCol=label,
-            targetType=target_type,
-            smoothing=1.0,
-            handleInvalid="keep",
-        ),
-        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
-        VectorAssembler(
-            inputCols=[*means, *[f"{c}_num" for c in cfg.numerical]], outputCol="features"
-        ),
-    ]
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TwoStageModel:
+        kinds = {"classifier": GBTClassificationModel, "regressor": GBTRegressionModel}
+        stages = {
+            name: StageModel(
+                kind.load(f"{path}/{name}/trees"), CategoryMeans(spark.read.parquet(f"{path}/{name}/means"))
+            )
+            for name, kind in kinds.items()
+        }
+        return TwoStageModel(**stages)
 
 
 def _boosting(kind: type, cfg: BoostingConfig, label: str):
     return kind(
         featuresCol="features",
         labelCol=label,
+        weightCol="weight",
         maxIter=cfg.iterations,
         stepSize=cfg.learning_rate,
         maxDepth=cfg.depth,
@@ -89,21 +76,65 @@ def _boosting(kind: type, cfg: BoostingConfig, label: str):
     )
 
 
-def fit_classifier(train: DataFrame, cfg: ForecastConfig) -> PipelineModel:
-    data = _prepared(train, cfg).withColumn("sells", (F.col(cfg.target) > 0).cast("double"))
-    stages = [*_encoding(cfg, "binary", "sells"), _boosting(GBTClassifier, cfg.classifier, "sells")]
-    return Pipeline(stages=stages).fit(data)
+def held_back_points(rows: DataFrame, cfg: ForecastConfig, label: str, weeks: int | None) -> DataFrame:
+    """Weighted points of the rows; those of the last weeks are ``held_back`` to tell when to stop."""
+    late = F.col("date") > cutoff(rows, weeks) if weeks else F.lit(False)
+    return weighted_points(rows.withColumn("held_back", late), [*feature_columns(cfg), "held_back"], label)
+
+
+def best_rounds(losses: Sequence[float]) -> int:
+    """The first number of rounds with the least loss; ``losses`` are those after 1, 2, ... rounds."""
+    return min(range(len(losses)), key=losses.__getitem__) + 1
+
 
+def search_rounds(points: DataFrame, cfg: ForecastConfig, kind: type, settings: BoostingConfig, label: str) -> int:
+    """How many rounds fit the weeks held back best, after a fit on the points before them.
 
-def fit_regressor(train: DataFrame, cfg: ForecastConfig) -> PipelineModel:
+    A fit tells its loss after each of its rounds, so the search tries doubling numbers of rounds until the best one lies
+    ``early_stop_patience`` rounds back: less than four times the rounds that are needed, however many the maximum is.
+    """
+    root = new_table_root(points.sparkSession)
+    early = points.where("not held_back")
+    means = CategoryMeans.fit(early, cfg.categorical, label, f"{root}/means")
+    fit_on, check_on = (
+        encode_points(part, means, cfg, [label, "weight"]) for part in (early, points.where("held_back"))
+    )
+    rounds = settings.early_stop_patience + 1
+    while True:
+        rounds = min(rounds, settings.iterations)
+        trees = _boosting(kind, dataclasses.replace(settings, iterations=rounds), label).fit(fit_on)
+        losses = trees.evaluateEachIteration(check_on, *(["squared"] if kind is GBTRegressor else []))
+        best = best_rounds(losses)
+        if rounds == settings.iterations or best + settings.early_stop_patience <= rounds:
+            return best
+        rounds = 2 * rounds
+
+
+def fit_stage(rows: DataFrame, cfg: ForecastConfig, kind: type, settings: BoostingConfig, label: str) -> StageModel:
+    """Fit one stage on rows with features, date and label, with as many rounds as the held-back weeks ask for.
+
+    The search learns its means and trees from the weeks before those only; the model is then fitted on all rows. Where
+    the rows lie within the held-back weeks or none is to be held back, all rounds run.
+    """
+    root = new_table_root(rows.sparkSession)
+    points = overwrite(held_back_points(rows, cfg, label, settings.early_stop_weeks), f"{root}/weighted_points")
+    if points.select("held_back").distinct().count() == 2:
+        settings = dataclasses.replace(settings, iterations=search_rounds(points, cfg, kind, settings, label))
+    points = points.groupBy(*feature_columns(cfg), label).agg(F.sum("weight").alias("weight"))
+    means = CategoryMeans.fit(points, cfg.categorical, label, f"{root}/means")
+    data = encode_points(points, means, cfg, [label, "weight"])
+    return StageModel(_boosting(kind, settings, label).fit(data), means)
+
+
+def fit_classifier(train: DataFrame, cfg: ForecastConfig) -> StageModel:
+    data = train.withColumn("sells", (F.col(cfg.target) > 0).cast("double")).where("sells is not null")
+    return fit_stage(data, cfg, GBTClassifier, cfg.classifier, "sells")
+
+
+def fit_regressor(train: DataFrame, cfg: ForecastConfig) -> StageModel:
     """Quantities of the rows that sold something."""
-    data = _prepared(train.where(F.col(cfg.target) > 0), cfg)
-    data = data.withColumn("quantity", F.col(cfg.target).cast("double"))
-    stages = [
-        *_encoding(cfg, "continuous", "quantity"),
-        _boosting(GBTRegressor, cfg.regressor, "quantity"),
-    ]
-    return Pipeline(stages=stages).fit(data)
+    data = train.where(F.col(cfg.target) > 0).withColumn("quantity", F.col(cfg.target).cast("double"))
+    return fit_stage(data, cfg, GBTRegressor, cfg.regressor, "quantity")
 
 
 def fit_two_stage(features: DataFrame, cfg: ForecastConfig) -> TwoStageModel:
@@ -112,15 +143,38 @@ def fit_two_stage(features: DataFrame, cfg: ForecastConfig) -> TwoStageModel:
     return TwoStageModel(fit_classifier(train, cfg), fit_regressor(train, cfg))
 
 
+def _point_probabilities(points: DataFrame, model: StageModel, cfg: ForecastConfig) -> DataFrame:
+    out = model.trees.transform(with_vector(points, model.means, cfg))
+    return out.select(*points.columns, vector_to_array("probability")[1].alias("sale_probability"))
+
+
+def _point_quantities(points: DataFrame, model: StageModel, cfg: ForecastConfig) -> DataFrame:
+    out = model.trees.transform(with_vector(points, model.means, cfg))
+    return out.select(*points.columns, F.col("prediction").alias("raw_quantity"))
+
+
+def score_points(points: DataFrame, model: TwoStageModel, cfg: ForecastConfig) -> DataFrame:
+    """Add ``sale_probability`` and ``raw_quantity`` to rows that have the features; each row is scored by itself."""
+    return _point_quantities(_point_probabilities(points, model.classifier, cfg), model.regressor, cfg)
+
+
+def _per_point(df: DataFrame, cfg: ForecastConfig, score) -> DataFrame:
+    """Score each distinct feature point once and join the scores back; a missing feature meets a missing one."""
+    keys = feature_columns(cfg)
+    return join_null_safe(df, score(df.select(*keys).distinct()), keys)
+
+
+def sale_probabilities(df: DataFrame, model: StageModel, cfg: ForecastConfig) -> DataFrame:
+    return _per_point(df, cfg, lambda points: _point_probabilities(points, model, cfg))
+
+
+def raw_quantities(df: DataFrame, model: StageModel, cfg: ForecastConfig) -> DataFrame:
+    return _per_point(df, cfg, lambda points: _point_quantities(points, model, cfg))
+
+
 def raw_predictions(df: DataFrame, model: TwoStageModel, cfg: ForecastConfig) -> DataFrame:
     """Add ``sale_probability`` and ``raw_quantity``."""
-    keep = df.columns
-    out = model.classifier.transform(_prepared(df, cfg)).select(
-        *keep, vector_to_array("probability")[1].alias("sale_probability")
-    )
-    return model.regressor.transform(_prepared(out, cfg)).select(
-        *keep, "sale_probability", F.col("prediction").alias("raw_quantity")
-    )
+    return _per_point(df, cfg, lambda points: score_points(points, model, cfg))
 
 
 def decide(raw: DataFrame, threshold: float) -> DataFrame:
@@ -134,8 +188,8 @@ def decide(raw: DataFrame, threshold: float) -> DataFrame:
 def feature_importance(model: TwoStageModel, cfg: ForecastConfig, df: DataFrame) -> DataFrame:
     """One row per feature; ``df`` only lends its session."""
     names = [*cfg.categorical, *cfg.numerical]
-    cls = model.classifier.stages[-1].featureImportances.toArray()
-    reg = model.regressor.stages[-1].featureImportances.toArray()
+    cls = model.classifier.trees.featureImportances.toArray()
+    reg = model.regressor.trees.featureImportances.toArray()
     rows = [(n, float(c), float(r)) for n, c, r in zip(names, cls, reg)]
     return df.sparkSession.createDataFrame(
         rows, "feature_name string, classifier_importance double, regressor_importance double"
@@ -150,26 +204,37 @@ def predict_hist_avg(df: DataFrame) -> DataFrame:
     return df.withColumn("predicted", non_negative_int(F.col("hist_avg")))
 
 
-def fit_poisson(train: DataFrame, cfg: ForecastConfig, max_iter: int = 25) -> PipelineModel:
-    data = _prepared(train, cfg).withColumn("quantity", F.col(cfg.target).cast("double"))
+@dataclass(frozen=True)
+class PoissonModel:
+    regression: PipelineModel
+    means: CategoryMeans
+
+
+def fit_poisson(train: DataFrame, cfg: ForecastConfig, max_iter: int = 25) -> PoissonModel:
+    data = train.where(F.col(cfg.target).isNotNull()).withColumn("quantity", F.col(cfg.target).cast("double"))
+    root = new_table_root(train.sparkSession)
+    points = overwrite(weighted_points(data, feature_columns(cfg), "quantity"), f"{root}/weighted_points")
+    means = CategoryMeans.fit(points, cfg.categorical, "quantity", f"{root}/means")
     glm = GeneralizedLinearRegression(
         family="poisson",
         link="log",
         featuresCol="scaled",
         labelCol="quantity",
+        weightCol="weight",
         maxIter=max_iter,
         regParam=0.01,
     )
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    stages = [*_encoding(cfg, "continuous", "quantity"), scaler, glm]
-    return Pipeline(stages=stages).fit(data)
+    data = encode_points(points, means, cfg, ["quantity", "weight"])
+    return PoissonModel(Pipeline(stages=[scaler, glm]).fit(data), means)
 
 
-def predict_poisson(df: DataFrame, model: PipelineModel, cfg: ForecastConfig, threshold: float = 0.5):
-    out = model.transform(_prepared(df, cfg))
-    return out.select(
-        *df.columns, floor_threshold(F.col("prediction"), threshold).alias("predicted")
-    )
+def predict_poisson(df: DataFrame, model: PoissonModel, cfg: ForecastConfig, threshold: float = 0.5):
+    def score(points: DataFrame) -> DataFrame:
+        out = model.regression.transform(with_vector(points, model.means, cfg))
+        return out.select(*points.columns, floor_threshold(F.col("prediction"), threshold).alias("predicted"))
+
+    return _per_point(df, cfg, score)
 
 
 def boosting_grid() -> list[BoostingConfig]:
@@ -183,19 +248,40 @@ def boosting_grid() -> list[BoostingConfig]:
 
 
 def tune(
-    features: DataFrame, cfg: ForecastConfig, grid: Sequence[BoostingConfig] | None = None
+    features: DataFrame, cfg: ForecastConfig, grid: Sequence[BoostingConfig] | None = None, threads: int = 3
 ) -> DataFrame:
-    """Classifier log loss of each setting on the last weeks of the *training* part."""
+    """Classifier log loss of each setting on the last weeks of the *training* part.
+
+    Boosting adds one tree after the other, so the first trees of a long fit are the fit of fewer rounds: settings that
+    differ in their rounds alone share one fit, and its loss is read off after each number of rounds. The fits run on one
+    table of weighted points, up to ``threads`` at a time.
+    """
     train = train_part(features, cfg.test_weeks)
-    fit_on, check_on = train_part(train, cfg.test_weeks), test_part(train, cfg.test_weeks)
-    rows = []
+    rows = train.withColumn("sells", (F.col(cfg.target) > 0).cast("double")).where("sells is not null")
+    root = new_table_root(features.sparkSession)
+    points = overwrite(held_back_points(rows, cfg, "sells", cfg.test_weeks), f"{root}/weighted_points")
+    means = CategoryMeans.fit(points.where("not held_back"), cfg.categorical, "sells", f"{root}/means")
+    fit_on = encode_points(points.where("not held_back"), means, cfg, ["sells", "weight"])
+    check_on = encode_points(points.where("held_back"), means, cfg, ["sells", "weight"])
+    fits: dict[BoostingConfig, list[int]] = defaultdict(list)
     for setting in grid or boosting_grid():
-        model = fit_classifier(fit_on, dataclasses.replace(cfg, classifier=setting))
-        scored = model.transform(_prepared(check_on, cfg))
-        p = F.greatest(F.least(vector_to_array("probability")[1], F.lit(1 - 1e-15)), F.lit(1e-15))
-        loss = F.avg(F.when(F.col(cfg.target) > 0, -F.log(p)).otherwise(-F.log(1 - p)))
-        found = scored.agg(loss.alias("loss")).first()["loss"]
-        rows.append((setting.iterations, setting.learning_rate, setting.depth, found))
+        fits[dataclasses.replace(setting, iterations=0, early_stop_weeks=None)].append(setting.iterations)
+
+    @inheritable_thread_target(features.sparkSession)
+    def fit(item: tuple[BoostingConfig, list[int]]) -> list[tuple]:
+        setting, rounds = item
+        longest = dataclasses.replace(setting, iterations=max(rounds))
+        losses = log_losses(_boosting(GBTClassifier, longest, "sells").fit(fit_on), check_on)
+        return [(n, setting.learning_rate, setting.depth, losses[n - 1]) for n in rounds]
+
+    with ThreadPool(max(1, min(threads, len(fits)))) as pool:
+        found = [row for rows in pool.map(fit, fits.items()) for row in rows]
     return features.sparkSession.createDataFrame(
-        rows, "iterations int, learning_rate double, depth int, log_loss double"
+        found, "iterations int, learning_rate double, depth int, log_loss double"
     )
+
+
+def log_losses(model: GBTClassificationModel, points: DataFrame, label: str = "sells") -> list[float]:
+    """Weighted log loss after each round: one pass over the points, whose trees add up round by round."""
+    # a tree's vote counts with its weight; twice the sum is the log odds
+    return [loss / 2 for loss in model.evaluateEachIteration(points)]

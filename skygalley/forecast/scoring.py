@@ -1,4 +1,8 @@
-"""Batch scoring: requests (route, day period, expected passengers) against the fresh products."""
+"""Batch scoring: requests (route, day period, expected passengers) against the fresh products.
+
+A score depends on the product, the route, the day period and the passenger class alone. Each such point is scored once, and
+requests are joined to the scores; sums over products are taken on the points.
+"""
 
 from __future__ import annotations
 
@@ -7,36 +11,63 @@ from pyspark.sql import functions as F
 
 from skygalley.config import ForecastConfig
 from skygalley.errors import ValidationError
-from skygalley.forecast.models import TwoStageModel, decide, raw_predictions
+from skygalley.forecast.models import TwoStageModel, decide, score_points
 from skygalley.forecast.preparation import LOOKUP_KEY, pax_bin
+from skygalley.operators.joins import join_null_safe
+from skygalley.session import new_table_root
+from skygalley.sources.sinks import overwrite
 
 REQUEST = ["request_id", "route", "day_period", "expected_pax"]
 
 
-def with_products(requests: DataFrame, products: DataFrame, slices: int | None = None) -> DataFrame:
-    """Every request with every fresh product: the forecast of a flight covers the whole catalog.
+def with_products(
+    rows: DataFrame, products: DataFrame, keys: list[str], slices: int | None = None
+) -> DataFrame:
+    """Every row, distinct in ``keys``, with every fresh product: a forecast covers the whole catalog.
 
     An equi join on a slice number: Spark broadcasts a small catalog, and shuffles even slices of a
-    large one. No side is assumed to be small. Requests spread over ``slices`` (the session's shuffle
+    large one. No side is assumed to be small. Rows spread over ``slices`` (the session's shuffle
     partitions unless stated), and each slice meets the catalog it is given: filter that first.
     """
-    n = slices or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = requests.withColumn("_slice", F.pmod(F.xxhash64("request_id"), F.lit(n)))
+    n = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*keys), F.lit(n)))
     every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
     catalog = products.select("item_id", "category", every.alias("_slice"))
     return sliced.join(catalog, "_slice").drop("_slice")
 
 
+CONTEXT = ["route", "day_period", "pax_bin"]
+
+
+def with_context(requests: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Requests with their served passenger class."""
+    return requests.select(*REQUEST).withColumn("pax_bin", pax_bin(F.col("expected_pax"), cfg, serving=True))
+
+
+def contexts(requests: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """The distinct (route, day period, passenger class) of the requests: all of a request that a score depends on."""
+    return with_context(requests, cfg).select(*CONTEXT).distinct()
+
+
+def point_inputs(
+    requests: DataFrame, products: DataFrame, lookup: DataFrame, cfg: ForecastConfig
+) -> DataFrame:
+    """One row per context and fresh product, with the historical average; no row per request.
+
+    Its size is routes x day periods x passenger classes x products, however many flights ask.
+    """
+    rows = with_products(contexts(requests, cfg), products, CONTEXT)
+    return rows.join(lookup.select(*LOOKUP_KEY, "hist_avg"), LOOKUP_KEY, "left")
+
+
 def score_inputs(
     requests: DataFrame, products: DataFrame, lookup: DataFrame, cfg: ForecastConfig
 ) -> DataFrame:
     """Requests expanded to products, with the served passenger class and historical average."""
-    rows = with_products(requests.select(*REQUEST), products)
-    rows = rows.withColumn("pax_bin", pax_bin(F.col("expected_pax"), cfg, serving=True))
-    return rows.join(lookup.select(*LOOKUP_KEY, "hist_avg"), LOOKUP_KEY, "left")
+    return join_null_safe(with_context(requests, cfg), point_inputs(requests, products, lookup, cfg), CONTEXT, "inner")
 
 
-def score(
+def score_table(
     requests: DataFrame,
     products: DataFrame,
     lookup: DataFrame,
@@ -44,28 +75,34 @@ def score(
     threshold_type: str,
     cfg: ForecastConfig,
 ) -> DataFrame:
-    """Predicted quantity of every product for every request."""
+    """The predicted quantity of every context and product, scored once and written; requests are joined to it."""
     if threshold_type not in cfg.thresholds:
         raise ValidationError(f"Unknown threshold type: {threshold_type}")
-    raw = raw_predictions(score_inputs(requests, products, lookup, cfg), model, cfg)
-    return decide(raw, cfg.thresholds[threshold_type]).select(
-        "request_id",
-        "route",
-        "day_period",
-        "item_id",
-        "category",
-        "hist_avg",
-        F.col("predicted").alias("predicted_quantity"),
+    raw = score_points(point_inputs(requests, products, lookup, cfg), model, cfg)
+    out = decide(raw, cfg.thresholds[threshold_type]).select(
+        *CONTEXT, "item_id", "category", "hist_avg", F.col("predicted").alias("predicted_quantity")
     )
+    return overwrite(out, f"{new_table_root(requests.sparkSession)}/score_table")
 
 
-def score_item(scores: DataFrame, item_id: str, accuracy: DataFrame) -> DataFrame:
-    """One product's scores with its average (0 without history) and estimated accuracy.
+def _for_requests(requests: DataFrame, table: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """A missing route or period meets a missing one. A hot context is many requests and few rows of the table."""
+    return join_null_safe(with_context(requests, cfg), table, CONTEXT, "inner")
 
-    Give ``score`` this product alone; scores of other products are passed over.
-    """
-    rows = scores.where(F.col("item_id") == item_id)
-    return rows.join(accuracy, "item_id", "left").select(
+
+def score(requests: DataFrame, table: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Predicted quantity of every product for every request."""
+    return _for_requests(requests, table, cfg).select(
+        "request_id", "route", "day_period", "item_id", "category", "hist_avg", "predicted_quantity"
+    )
+
+
+def score_item(
+    requests: DataFrame, table: DataFrame, item_id: str, accuracy: DataFrame, cfg: ForecastConfig
+) -> DataFrame:
+    """One product's scores with its average (0 without history) and estimated accuracy."""
+    rows = table.where(F.col("item_id") == item_id).join(accuracy, "item_id", "left")
+    return _for_requests(requests, rows, cfg).select(
         "request_id",
         "item_id",
         "predicted_quantity",
@@ -74,7 +111,9 @@ def score_item(scores: DataFrame, item_id: str, accuracy: DataFrame) -> DataFram
     )
 
 
-def score_category(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("request_id", F.col("category").alias("category_name")).agg(
+def score_category(requests: DataFrame, table: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Predicted quantity per request and category, summed over the products before any request is met."""
+    sums = table.groupBy(*CONTEXT, F.col("category").alias("category_name")).agg(
         F.sum("predicted_quantity").alias("predicted_quantity")
     )
+    return _for_requests(requests, sums, cfg).select("request_id", "category_name", "predicted_quantity")

@@ -1,6 +1,6 @@
 """Forecast: preparation, folds, models, evaluation and scoring on the fresh-food mart.
 
-Queries with SQL are exact. Those that train a model are checked by their rows only; settings are the
+Queries with SQL are exact. Of models the inputs and the facts that any fit must keep are stated in SQL; settings are the
 engine's defaults and the data is always whole.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skygalley.config import BoostingConfig
 from skygalley.forecast import evaluation as ev
 from skygalley.forecast import folds, models, neighbours, preparation, scoring
 from skygalley.functions import absolute_error, floor_threshold, half_even
@@ -377,32 +378,84 @@ def _estimated(lab: Lab):
     return ev.estimated_accuracy(read(f"{root}/model_metrics_by_item"), read(f"{root}/model_runs"))
 
 
-# --- models: rows only ----------------------------------------------------------------------------
+# --- models -------------------------------------------------------------------------------------
+#
+# What a fit is given (weighted points, category means) and what it must keep (every row once, scores within bounds) is checked
+# by SQL; the trees themselves are beyond SQL.
+
+
+def _training(lab: Lab) -> DataFrame:
+    return folds.train_part(features(lab), lab.forecast.test_weeks)
+
+
+def _test(lab: Lab) -> DataFrame:
+    return folds.test_part(features(lab), lab.forecast.test_weeks)
+
+
+def _classifier(lab: Lab) -> models.StageModel:
+    return lab.keep("classifier", lambda: models.fit_classifier(_training(lab), lab.forecast))
+
+
+def _regressor(lab: Lab) -> models.StageModel:
+    return lab.keep("regressor", lambda: models.fit_regressor(_training(lab), lab.forecast))
 
 
 def _model(lab: Lab) -> models.TwoStageModel:
-    return lab.keep("model", lambda: models.fit_two_stage(features(lab), lab.forecast))
+    return models.TwoStageModel(_classifier(lab), _regressor(lab))
 
 
 def _raw(lab: Lab) -> DataFrame:
     def build() -> DataFrame:
-        test = folds.test_part(features(lab), lab.forecast.test_weeks)
-        raw = models.raw_predictions(test, _model(lab), lab.forecast)
+        raw = models.raw_predictions(_test(lab), _model(lab), lab.forecast)
         return overwrite(raw, f"{lab.root}/raw_predictions")
 
     return lab.keep("raw_predictions", build)
 
 
+_POINT = "item_id, route, day_period, pax_bin, hist_avg"
+
+
+@query(
+    "model_points",
+    f"""SELECT {_POINT}, date > (SELECT max(date) FROM fc_train) - 14 AS held_back,
+        CAST(sold_quantity > 0 AS DOUBLE) AS sells, CAST(count(*) AS DOUBLE) AS weight
+        FROM fc_train GROUP BY ALL""",
+)
+def _points(lab: Lab):
+    """What the classifier learns from: each combination of features and outcome once, with its number of rows."""
+    rows = _training(lab).withColumn("sells", (F.col("sold_quantity") > 0).cast("double"))
+    return models.held_back_points(rows, lab.forecast, "sells", lab.forecast.classifier.early_stop_weeks)
+
+
+_MEAN = "round((sum(sells) + (SELECT avg(sells) FROM s)) / (count(*) + 1), 9) AS mean FROM s GROUP BY ALL"
+
+
+@query(
+    "model_category_means",
+    "SELECT * FROM (WITH s AS (SELECT *, CAST(sold_quantity > 0 AS DOUBLE) AS sells FROM fc_train) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS value, {_MEAN}" for c in ("item_id", "route", "day_period", "pax_bin")
+    )
+    + " UNION ALL SELECT '*', NULL, round(avg(sells), 9) FROM s)",
+)
+def _means(lab: Lab):
+    """The numbers that stand for items, routes, periods and passenger classes in the classifier."""
+    table = _classifier(lab).means.table
+    return table.select("feature", "value", F.round("mean", 9).alias("mean"))
+
+
 @query("model_cls")
 def _model_cls(lab: Lab):
-    return _raw(lab).select(
+    rows = models.sale_probabilities(_test(lab), _classifier(lab), lab.forecast)
+    return rows.select(
         "flight_key", "item_id", "sold_quantity", half_even(F.col("sale_probability"), 6).alias("p")
     )
 
 
 @query("model_reg")
 def _model_reg(lab: Lab):
-    return _raw(lab).where("sold_quantity > 0").select(
+    rows = models.raw_quantities(_test(lab).where("sold_quantity > 0"), _regressor(lab), lab.forecast)
+    return rows.select(
         "flight_key",
         "item_id",
         "sold_quantity",
@@ -411,6 +464,28 @@ def _model_reg(lab: Lab):
     )
 
 
+@query(
+    "model_facts",
+    """SELECT count(*) AS n, count(DISTINCT (flight_key, item_id)) AS keys, CAST(sum(sold_quantity) AS BIGINT) AS sold,
+       0 AS out_of_bounds, count(DISTINCT (item_id, route, day_period, pax_bin, hist_avg)) AS points, true AS one_score_per_point
+       FROM fc_test""",
+)
+def _facts(lab: Lab):
+    """Every test row is predicted once, probabilities and quantities are finite, and a point has one score."""
+    rows = _raw(lab)
+    p, quantity = F.col("sale_probability"), F.col("raw_quantity")
+    bad = ~F.coalesce(p.between(0, 1) & ~F.isnan(quantity) & (F.abs(quantity) < 1e9), F.lit(False))
+    point = F.struct("item_id", "route", "day_period", "pax_bin", "hist_avg")
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("flight_key", "item_id").alias("keys"),
+        F.sum("sold_quantity").alias("sold"),
+        F.count(F.when(bad, 1)).cast("int").alias("out_of_bounds"),
+        F.count_distinct(point).alias("points"),
+        (F.count_distinct(point) == F.count_distinct(F.struct(point, p, quantity))).alias("one_score_per_point"),
+    )
+
+
 @query("predict_two_stage")
 def _two_stage(lab: Lab):
     out = models.decide(_raw(lab), lab.forecast.thresholds["low_wastage"])
@@ -504,19 +579,58 @@ def _inputs(lab: Lab):
     )
 
 
-def _scores(lab: Lab, item: str | None = None) -> DataFrame:
-    products = fresh_products(lab.wh.ref("dim_products"))
-    if item is not None:
-        products = products.where(F.col("item_id") == item)
-    lookup = preparation.hist_lookup(features(lab))
-    return scoring.score(
-        _requests(lab), products, lookup, _model(lab), "low_missed_sales", lab.forecast
+def _score_table(lab: Lab) -> DataFrame:
+    def build() -> DataFrame:
+        products = fresh_products(lab.wh.ref("dim_products"))
+        lookup = preparation.hist_lookup(features(lab))
+        return scoring.score_table(_requests(lab), products, lookup, _model(lab), "low_missed_sales", lab.forecast)
+
+    return lab.keep("score_table", build)
+
+
+_CONTEXT_OF = "route, day_period, pax_bin"
+
+
+@query(
+    "score_table_size",
+    f"""SELECT count(*) AS n, count(DISTINCT item_id) AS items, count(DISTINCT coalesce(route, '-') || coalesce(day_period, '-')
+        || coalesce(pax_bin, '-')) AS contexts, count(hist_avg) AS with_history, 0 AS negative
+        FROM (SELECT DISTINCT {_CONTEXT_OF}, item_id, category, hist_avg FROM ({_SCORED}))""",
+)
+def _table_size(lab: Lab):
+    """The scored table grows with contexts and products, not with flights."""
+    context = F.concat(*[F.coalesce(c, F.lit("-")) for c in scoring.CONTEXT])
+    return _score_table(lab).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("item_id").alias("items"),
+        F.count_distinct(context).alias("contexts"),
+        F.count("hist_avg").alias("with_history"),
+        F.count(F.when(~F.coalesce(F.col("predicted_quantity") >= 0, F.lit(False)), 1)).cast("int").alias("negative"),
     )
 
 
 @query("score_all")
 def _score_all(lab: Lab):
-    return _scores(lab)
+    return scoring.score(_requests(lab), _score_table(lab), lab.forecast)
+
+
+@query(
+    "score_facts",
+    f"""SELECT category, count(*) AS n, count(DISTINCT request_id) AS requests,
+        {rint("sum(CAST(hist_avg * 100 AS BIGINT))", 0)} AS cents, true AS sums_agree FROM ({_SCORED}) GROUP BY category""",
+)
+def _score_facts(lab: Lab):
+    """Every request is scored for every product, and the sums by category are those of its products."""
+    requests, table = _requests(lab), _score_table(lab)
+    every = scoring.score(requests, table, lab.forecast).groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("request_id").alias("requests"),
+        F.sum(F.rint(F.col("hist_avg") * 100)).alias("cents"),
+        F.sum("predicted_quantity").alias("by_item"),
+    )
+    sums = scoring.score_category(requests, table, lab.forecast).groupBy(F.col("category_name").alias("category"))
+    met = every.join(sums.agg(F.sum("predicted_quantity").alias("by_category")), "category", "left")
+    return met.select("category", "n", "requests", "cents", F.col("by_item").eqNullSafe(F.col("by_category")).alias("sums_agree"))
 
 
 @query("score_item")
@@ -528,9 +642,22 @@ def _score_item(lab: Lab):
     accuracy = ev.estimated_accuracy(
         read(f"{root}/model_metrics_by_item"), read(f"{root}/model_runs")
     )
-    return scoring.score_item(_scores(lab, item), item, accuracy)
+    return scoring.score_item(_requests(lab), _score_table(lab), item, accuracy, lab.forecast)
 
 
 @query("score_category")
 def _score_category(lab: Lab):
-    return scoring.score_category(_scores(lab))
+    return scoring.score_category(_requests(lab), _score_table(lab), lab.forecast)
+
+
+@query("tune_grid")
+def _tune_grid(lab: Lab):
+    """Two learning rates and two depths, each read off after 2, 4 and 8 rounds of one fit."""
+    grid = [
+        BoostingConfig(iterations=n, learning_rate=rate, depth=depth)
+        for n in (2, 4, 8)
+        for rate in (0.05, 0.1)
+        for depth in (4, 6)
+    ]
+    out = models.tune(features(lab), lab.forecast, grid)
+    return out.withColumn("log_loss", F.round("log_loss", 9))

@@ -8,7 +8,7 @@ from skygalley.functions import or_unknown, ratio
 from skygalley.operators import joins, windows
 from skygalley.operators.cleaning import first_per_key
 from skygalley.plans import warehouse
-from skygalley.plans.semantic import metric_query
+from skygalley.plans.semantic import ROW_LIMIT, metric_query, metric_result
 from skygalley.registry.base import Lab, plain, query
 from skygalley.registry.oracle import city, double
 from skygalley.registry.oracle import ratio as sql_ratio
@@ -350,7 +350,7 @@ def _partition_max(lab: Lab):
     "sort_multi",
     """SELECT category, is_food, CAST(sum(sold_quantity) AS DOUBLE) AS sold_quantity FROM fact_wastage fw
        JOIN dim_products dp ON dp.product_key = fw.product_key GROUP BY category, is_food
-       ORDER BY is_food DESC NULLS FIRST, sold_quantity ASC NULLS LAST LIMIT 201""",
+       ORDER BY is_food DESC NULLS FIRST, sold_quantity ASC NULLS LAST""",
 )
 def _sort(lab: Lab):
     order = {"is_food": "desc", "sold_quantity": "asc"}
@@ -370,14 +370,19 @@ def _topk(lab: Lab):
 
 @query(
     "cap_truncate",
-    """SELECT item_id, CAST(sum(sold_quantity) AS DOUBLE) AS sales_quantity FROM fact_sales fs
-       JOIN dim_products dp ON dp.product_key = fs.product_key GROUP BY item_id
-       ORDER BY sales_quantity DESC NULLS FIRST, item_id LIMIT 201""",
+    f"""SELECT item_id, sales_quantity, n > {ROW_LIMIT} AS truncated FROM (
+          SELECT item_id, CAST(sum(sold_quantity) AS DOUBLE) AS sales_quantity, count(*) OVER () AS n,
+            row_number() OVER (ORDER BY sum(sold_quantity) DESC NULLS FIRST, item_id) AS place
+          FROM fact_sales fs JOIN dim_products dp ON dp.product_key = fs.product_key GROUP BY item_id)
+        WHERE place <= {ROW_LIMIT}""",
 )
 def _cap(lab: Lab):
-    """No limit asked: one row more than the row limit, which tells that the answer was cut."""
+    """The view of an answer without a limit: its first rows, numbers as doubles, and whether it has more."""
     order = {"sales_quantity": "desc", "item_id": "asc"}
-    return metric_query(lab.wh.ref, "sales", ["sales_quantity"], ["item_id"], None, order)
+    answer = metric_query(lab.wh.ref, "sales", ["sales_quantity"], ["item_id"], None, order)
+    view = metric_result(answer)
+    rows = [(r["item_id"], r["sales_quantity"], view["truncated"]) for r in view["rows"]]
+    return lab.spark.createDataFrame(rows, "item_id string, sales_quantity double, truncated boolean")
 
 
 @query("union_all", "SELECT source, count(*) AS n FROM flights_unioned GROUP BY source")

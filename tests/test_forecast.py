@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from skygalley.config import BoostingConfig, ForecastConfig
 from skygalley.errors import ValidationError
 from skygalley.forecast import evaluation as ev
-from skygalley.forecast import folds, models, neighbours, preparation, scoring
+from skygalley.forecast import encoding, folds, models, neighbours, preparation, scoring
 from skygalley.forecast.run import run_forecast
 
 CFG = ForecastConfig()
@@ -183,10 +183,121 @@ def test_evaluation_counts(spark):
 def test_every_request_meets_every_product(spark):
     requests = spark.range(100).select(F.col("id").cast("string").alias("request_id"))
     products = spark.createDataFrame([(f"p{i}", "c") for i in range(7)], "item_id string, category string")
-    out = scoring.with_products(requests, products)
+    out = scoring.with_products(requests, products, ["request_id"])
     assert out.count() == 700 and out.distinct().count() == 700
 
 
+REQUESTS = "request_id string, route string, day_period string, expected_pax int"
+
+
+def test_scores_are_joined_from_few_points(spark):
+    """A thousand requests in three contexts, one of them without a route, meet 3 x 5 scored points."""
+    rows = [(f"q{n}", None if n % 3 == 2 else "r", "Day", 50 if n % 3 else 170) for n in range(1000)]
+    requests = spark.createDataFrame(rows, REQUESTS)
+    products = spark.createDataFrame([(f"p{i}", f"c{i % 2}") for i in range(5)], "item_id string, category string")
+    lookup = spark.createDataFrame(
+        [("p1", "r", "Day", 2.5, 1)], "item_id string, route string, day_period string, hist_avg double, hist_level_used int"
+    )
+    points = scoring.point_inputs(requests, products, lookup, CFG)
+    assert points.count() == 15 and points.where("hist_avg = 2.5").count() == 2
+    table = points.drop("expected_pax").withColumn("predicted_quantity", F.length("item_id") + F.length("pax_bin"))
+    scores = scoring.score(requests, table, CFG)
+    assert scores.count() == 5000 and scores.select("request_id", "item_id").distinct().count() == 5000
+    by_category = scoring.score_category(requests, table, CFG)
+    assert by_category.count() == 2000
+    wanted = scores.groupBy("request_id", "category").agg(F.sum("predicted_quantity").alias("n"))
+    assert sorted(map(tuple, by_category.collect())) == sorted(map(tuple, wanted.collect()))
+    accuracy = spark.createDataFrame([("p1", 0.5)], "item_id string, estimated_accuracy double")
+    one = scoring.score_item(requests, table, "p1", accuracy, CFG)
+    assert one.count() == 1000 and one.where("historical_average = 2.5").count() == sum(r[1] is not None for r in rows)
+
+
+FEATURES = "item_id string, route string, day_period string, pax_bin string, hist_avg double, sold_quantity int, date date"
+
+
+def learnable(spark, n=400, days=60):
+    """Item a sells nearly always, item b nearly never, and the quantity follows the average."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(n):
+        item = "ab"[k % 2]
+        sells = rng.random() < (0.9 if item == "a" else 0.1)
+        hist = float(k % 5)
+        day = D0 + datetime.timedelta(days=k % days)
+        quantity = int(hist) + 1 if sells else 0
+        rows.append((item, f"r{k % 3}" if k % 7 else None, "Day", "<100", hist if k % 11 else None, quantity, day))
+    return spark.createDataFrame(rows, FEATURES)
+
+
+def test_category_means(spark, tmp_path):
+    points = spark.createDataFrame(
+        [("a", 1.0, 3.0), ("a", 0.0, 1.0), ("b", 0.0, 4.0), (None, 1.0, 2.0)], "c string, y double, weight double"
+    )
+    means = encoding.CategoryMeans.fit(points, ["c"], "y", str(tmp_path / "means"))
+    asked = spark.createDataFrame([("a",), ("b",), (None,), ("new",)], "c string")
+    got = {r.c: r.c_mean for r in means.join(asked, ["c"]).collect()}
+    assert {k: round(v, 9) for k, v in got.items()} == {"a": 0.7, "b": 0.1, None: round(2.5 / 3, 9), "new": 0.5}
+
+
+def test_points_stand_for_their_rows(spark):
+    rows = learnable(spark).withColumn("sells", (F.col("sold_quantity") > 0).cast("double"))
+    points = models.held_back_points(rows, CFG, "sells", 2)
+    assert points.agg(F.sum("weight")).first()[0] == 400 and points.count() < 250
+    late = rows.where(F.col("date") > folds.cutoff(rows, 2)).count()
+    assert points.where("held_back").agg(F.sum("weight")).first()[0] == late
+
+
+def test_models_learn_and_stop(spark):
+    """The rounds end long before the maximum, and both stages find what is in the data."""
+    cfg = dataclasses.replace(
+        CFG,
+        classifier=BoostingConfig(learning_rate=0.3, depth=2, early_stop_patience=3),
+        regressor=BoostingConfig(iterations=6, learning_rate=0.5, depth=3, early_stop_weeks=None),
+    )
+    rows = learnable(spark)
+    model = models.TwoStageModel(models.fit_classifier(rows, cfg), models.fit_regressor(rows, cfg))
+    assert 1 <= model.classifier.trees.getNumTrees < 100
+    assert model.regressor.trees.getNumTrees == 6
+    got = models.raw_predictions(rows, model, cfg)
+    assert got.count() == 400 and got.columns == [*rows.columns, "sale_probability", "raw_quantity"]
+    p = {r.item_id: r.p for r in got.groupBy("item_id").agg(F.avg("sale_probability").alias("p")).collect()}
+    assert p["a"] > 0.6 > 0.4 > p["b"]
+    error = got.where("sold_quantity > 0 and hist_avg is not null")
+    assert error.agg(F.avg(F.abs(F.col("raw_quantity") - F.col("sold_quantity")))).first()[0] < 0.5
+    points = got.select("item_id", "route", "day_period", "pax_bin", "hist_avg")
+    assert got.select(points.columns + ["sale_probability", "raw_quantity"]).distinct().count() == points.distinct().count()
+    importance = models.feature_importance(model, cfg, rows).collect()
+    assert max(importance, key=lambda r: r.classifier_importance).feature_name == "item_id"
+
+
+def test_models_are_saved_and_loaded(spark, tmp_path):
+    rounds = BoostingConfig(iterations=2, depth=2, early_stop_weeks=None)
+    cfg = dataclasses.replace(CFG, classifier=rounds, regressor=rounds)
+    rows = learnable(spark, 60)
+    model = models.TwoStageModel(models.fit_classifier(rows, cfg), models.fit_regressor(rows, cfg))
+    model.save(str(tmp_path))
+    again = models.TwoStageModel.load(spark, str(tmp_path))
+    first, second = (models.raw_predictions(rows, m, cfg).collect() for m in (model, again))
+    assert sorted(map(str, first)) == sorted(map(str, second))
+
+
+def test_short_histories_run_all_rounds(spark):
+    """All rows within the weeks to hold back: nothing is held back."""
+    rounds = BoostingConfig(iterations=3, depth=2)
+    cfg = dataclasses.replace(CFG, classifier=rounds)
+    assert models.fit_classifier(learnable(spark, 60, days=5), cfg).trees.getNumTrees == 3
+
+
+def test_first_rounds_of_a_long_fit_are_a_short_fit(spark):
+    rows = learnable(spark)
+    grid = [BoostingConfig(iterations=n, learning_rate=r, depth=2) for n in (2, 5) for r in (0.1, 0.4)]
+    together = {tuple(r)[:3]: r.log_loss for r in models.tune(rows, CFG, grid).collect()}
+    assert len(together) == 4
+    for setting in grid:
+        alone = models.tune(rows, CFG, [setting]).first()
+        assert math.isclose(alone.log_loss, together[(setting.iterations, setting.learning_rate, 2)], rel_tol=1e-9)
+
+
 def test_whole_run_stores_results(spark, lab, tmp_path):
     rounds = BoostingConfig(iterations=2, depth=3)
     cfg = dataclasses.replace(CFG, classifier=rounds, regressor=rounds)
