@@ -384,6 +384,7 @@ def _links(heads: DataFrame, others: DataFrame) -> DataFrame:
 
 def _parts(members: DataFrame) -> DataFrame:
     """Add ``part``: 0, but for captures with very many members, which are dealt over parts by hash."""
+    members = materialize(members, "members")
     counts = members.groupBy(F.col("capture_id").alias("hot")).agg(F.count("*").alias("n"))
     hot = hot_keys(counts, "hot").where(F.col("n") > PART_RECORDS)
     dealt = members.join(F.broadcast(hot), F.col("capture_id") == F.col("hot"), "left")
@@ -397,6 +398,7 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     Revisits of one response may be a third of all rows: the responses that are revisited most (at most a thousand,
     by their share) are broadcast, the others joined.
     """
+    captures = materialize(captures, "captures")  # read four times below
     refers = F.col("response.refers_to")
     is_revisit = F.col("response.type") == "revisit"
     counts = captures.where(is_revisit).groupBy(refers.alias("hot")).agg(F.count("*").alias("n"))
