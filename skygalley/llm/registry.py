@@ -80,8 +80,8 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{new_table_root(spark)}/token_ids"
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     tokenfiles.write_ids(_documents(spark, sf_dir), path, tokenizer, END_ID)
-    rows = tokenfiles.read_ids(spark, path)
-    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    rows = tokenfiles.read_ids(spark, path, with_ids=False)
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
