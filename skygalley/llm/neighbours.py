@@ -26,13 +26,29 @@ SEARCH_BEAM = 192
 QUERY_BLOCK = 4096
 LOCKSTEP = 256
 
-_HITS = "query_id long, vec_id long, score double"
+FARTHEST = np.finfo(np.float64).max
+
+_HITS = "query_id long, point long, vec_id long, score double"
+_HIT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
 
 
 def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Squared, of each q (b, d) to its own x (b, c, d)."""
+    """Squared, of each q (b, d) to its own x (b, c, d); what is beyond the largest number counts as that number."""
     diff = x - q[:, None, :]
-    return np.einsum("bcd,bcd->bc", diff, diff)
+    return np.minimum(np.einsum("bcd,bcd->bc", diff, diff), FARTHEST)
+
+
+def _power(values: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """The power of two above the largest size among the values, by which they can be divided exactly; 1 for zeros."""
+    _, exponent = np.frexp(np.abs(values).max(axis=axis, initial=0.0, keepdims=axis is not None))
+    return np.ldexp(1.0, np.clip(exponent, -1000, 1000))
+
+
+def exact_distances(points: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean, in double precision; scaled, so that no square leaves the range of numbers."""
+    diff = points - q
+    scale = _power(diff, axis=1)
+    return np.sqrt(((diff / scale) ** 2).sum(axis=1)) * scale[:, 0]
 
 
 def beam_search(
@@ -46,7 +62,7 @@ def beam_search(
     row = np.arange(b)
     seen = np.zeros((b, none + 1), dtype=bool)
     ids = np.full((b, width), none)
-    dist = np.full((b, width), np.inf, dtype=np.float32)
+    dist = np.full((b, width), np.inf)
     done = np.ones((b, width), dtype=bool)
     ids[:, 0], done[:, 0] = entry, False
     dist[:, 0] = _distances(queries, vectors[np.full((b, 1), entry)])[:, 0]
@@ -62,7 +78,7 @@ def beam_search(
         near = graph[node]
         new = ~seen[live[:, None], near] & (near != none)
         seen[live[:, None], near] = True
-        d = np.where(new, _distances(queries[live], vectors[near]), np.inf).astype(np.float32)
+        d = np.where(new, _distances(queries[live], vectors[near]), np.inf)
         all_d = np.concatenate((dist[live], d), axis=1)
         best = np.argpartition(all_d, width - 1, axis=1)[:, :width]
         dist[live] = np.take_along_axis(all_d, best, 1)
@@ -90,7 +106,7 @@ def robust_prune(vectors: np.ndarray, nodes: np.ndarray, near: np.ndarray, degre
         pick = near[row, at]
         out[some, k] = pick[some]
         between = _distances(vectors[pick], points)
-        dist[(ALPHA**2 * between <= dist) & some[:, None]] = np.inf
+        dist[(between <= dist / ALPHA**2) & some[:, None]] = np.inf
         dist[row, at] = np.inf
     return out
 
@@ -145,12 +161,17 @@ def _valid(vector: str) -> str:
     return f"{vector} is not null and {finite} and exists({vector}, x -> x <> 0)"
 
 
+def _scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors divided by a power of two, so that the largest component is below 1, one row for no node, and the power."""
+    scale = _power(vectors)
+    return np.concatenate((vectors / scale, np.zeros((1, vectors.shape[1])))), scale
+
+
 def _shard_index(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim = key[0].as_py()
-    vectors = _matrix(table["vector"], dim).astype(np.float32)
-    padded = np.concatenate((vectors, np.zeros((1, dim), np.float32)))
+    padded, _ = _scaled(_matrix(table["vector"], dim))
     graph, entry = build_graph(padded)
-    payload = pack(padded.view(np.uint32).ravel(), graph.astype(np.uint32).ravel(), np.array([entry], np.uint64))
+    payload = pack(graph.astype(np.uint32).ravel(), np.array([entry], np.uint64))
     return pa.table(
         [
             pa.array([dim], pa.int32()),
@@ -175,12 +196,13 @@ def build_index(
 ) -> DataFrame:
     """A written table with a row per shard: its graph, vectors, and of equal vectors the k + 1 smallest ids.
 
-    More ids of equal vectors can't be among the k nearest of any query, ties going to smaller ids.
+    More ids of equal vectors can't be among the k nearest of any query, ties going to smaller ids. Repeated rows are one
+    candidate; an id with several vectors is a candidate with each of them.
     """
     rows = vectors.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
     ).where(_valid("vector"))
-    rows = rows.withColumn("vector", F.expr("transform(vector, x -> if(x = 0, 0D, x))"))
+    rows = rows.withColumn("vector", F.expr("transform(vector, x -> if(x = 0, 0D, x))")).distinct()
     nth = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     few = rows.withColumn("nth", nth).where(F.col("nth") <= k + 1)
     nodes = few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
@@ -192,31 +214,34 @@ def build_index(
 
 def _search_shard(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     if not len(index) or not len(queries):
-        return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=["query_id", "vec_id", "score"])
+        return _hits([])
     dim = index["dim"][0].as_py()
-    flat, graph, entry = unpack(index["graph"][0].as_py())
-    padded = flat.view(np.float32).reshape(-1, dim)
+    graph, entry = unpack(index["graph"][0].as_py())
     graph = graph.astype(np.int64).reshape(-1, DEGREE)
     exact = one_array(index["vectors"]).flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    padded, scale = _scaled(exact)
     ids = index["ids"][0].as_py()
     none = len(padded) - 1
-    query_ids = queries["query_id"].to_pylist()
+    query_ids, keys = queries["query_id"].to_pylist(), queries["point"].to_pylist()
     points = _matrix(queries["vector"], dim)
     width = min(max(SEARCH_BEAM, 2 * k), none)
-    out: list[tuple[int, int, float]] = []
+    out: list[tuple[int, int, int, float]] = []
     for at in range(0, len(points), LOCKSTEP):
         part = points[at : at + LOCKSTEP]
-        found, _ = beam_search(padded, graph, int(entry[0]), part.astype(np.float32), width)
-        for q, point, nodes in zip(query_ids[at : at + LOCKSTEP], part, found):
+        with np.errstate(over="ignore"):
+            found, _ = beam_search(padded, graph, int(entry[0]), np.clip(part / scale, -FARTHEST, FARTHEST), width)
+        for q, key, point, nodes in zip(query_ids[at : at + LOCKSTEP], keys[at : at + LOCKSTEP], part, found):
             nodes = nodes[nodes != none]
-            score = np.sqrt(((exact[nodes] - point) ** 2).sum(axis=1))
+            score = exact_distances(exact[nodes], point)
             near = [(s, i) for s, node in zip(score.tolist(), nodes.tolist()) for i in ids[node] if i != q]
-            out += [(q, i, s) for s, i in sorted(near)[:k]]
-    columns = list(zip(*out)) if out else [(), (), ()]
-    return pa.table(
-        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
-        names=["query_id", "vec_id", "score"],
-    )
+            out += [(q, key, i, s) for s, i in sorted(near)[:k]]
+    return _hits(out)
+
+
+def _hits(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * len(_HIT_TYPES)
+    names = [c.split()[0] for c in _HITS.split(", ")]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, _HIT_TYPES)], names=names)
 
 
 def nearest(
@@ -226,18 +251,21 @@ def nearest(
 
     Vectors that are null, zero, or hold null or non-finite numbers take no part, neither do ids that are null. A query is
     never its own neighbour, a row with an equal vector is. Ties go to the smaller vec_id. Only vectors of the query's
-    length are searched. With fewer than k candidates all are returned. Repeated query ids are searched once each.
+    length are searched. With fewer than k candidates all are returned. Repeated query rows are one query; an id with
+    several vectors is a query with each, and has ranks from 1 for each. Searches run in double precision on vectors
+    scaled by a power of two, so very large and very small numbers are told apart.
     """
     shards = index.select("dim", "shard")
     asked = queries.select(
         F.col(vec_id).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("vector")
-    ).where(_valid("vector") + " and query_id is not null")
+    ).where(_valid("vector") + " and query_id is not null").distinct()
+    asked = asked.withColumn("point", F.xxhash64("vector"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("dim", F.size("vector")).withColumn(
         "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
     )
     # The stated query set meets every shard, a block of queries at a time.
-    met = asked.join(shards, "dim").select("query_id", "vector", *[F.col(c).alias(c) for c in ("dim", "shard", "block")])
+    met = asked.join(shards, "dim").select("query_id", "point", "vector", *[F.col(c).alias(c) for c in ("dim", "shard", "block")])
     at = ["dim", "shard", "block"]
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
@@ -245,6 +273,6 @@ def nearest(
         return _search_shard(left, right, k)
 
     hits = copies.groupBy(*at).cogroup(met.groupBy(*at)).applyInArrow(search, _HITS)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query_id", "point").orderBy("score", "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -286,6 +286,25 @@ def test_nearest_recall(spark, monkeypatch):
         assert got[q] == sorted(got[q])
 
 
+@pytest.mark.parametrize("size", [1e25, 1e-30, 1e150, 1e-300])
+def test_nearest_of_very_large_and_small_numbers(spark, size):
+    rng = np.random.default_rng(9)
+    plain = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(150)]
+    rows = [(i, [x * size for x in v]) for i, v in plain]
+    got = found_nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 10)
+    want = brute_nearest(plain, 10)
+    assert {q: [i for _, i in near] for q, near in got.items()} == {q: [i for _, i in near] for q, near in want.items()}
+    assert all(abs(s / size - w) < 1e-9 for q in want for (s, _), (w, _) in zip(got[q], want[q]))
+
+
+def test_nearest_of_an_id_with_two_vectors(spark):
+    rows = [(100, [0.5, 1.0]), (100, [9.0, 1.0]), (1, [0.0, 1.0]), (2, [10.0, 1.0]), (2, [10.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(neighbours.build_index(df, 2), df.where("vec_id = 100"), 2).collect()
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in found)
+    assert got == [(1, 1, 0.5), (1, 2, 1.0), (2, 1, 9.0), (2, 2, 9.5)]
+
+
 def test_nearest_edges(spark):
     rows = [(100, [1.0, 0.0]), (101, [1.0, -0.0]), (102, [1.0, 0.0]), (103, [0.0, 0.0]), (104, None), (105, [float("nan"), 1.0])]
     rows += [(106, [None, 1.0]), (107, [float("inf"), 1.0]), (108, [3.0, 0.0]), (200, [0.0, 2.0]), (109, [1.0, 0.0, 0.0]), (300, [])]
@@ -295,6 +314,8 @@ def test_nearest_edges(spark):
         assert found_nearest(df, k) == brute_nearest(rows, k)
     assert found_nearest(df.limit(0), 3) == {}
     assert found_nearest(df.where("vec_id = 100"), 3) == {}
+    # repeated rows are one query and one candidate
+    assert found_nearest(df.union(df), 3) == brute_nearest(rows, 3)
     few = df.where("vec_id in (100, 108)")
     assert found_nearest(few, 10) == {100: [(2.0, 108)]}
 
