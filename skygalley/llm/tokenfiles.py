@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygalley.llm.exchange import pack, text_bytes, unpack
-from skygalley.llm.tokens import SPACE_DROPPED, encoder, read_json
+from skygalley.llm.tokens import read_json, word_encoder
 from skygalley.llm.words import mix, slices
 
 # Text of a shard (one file), ids of a block, text encoded at a time.
@@ -117,7 +117,7 @@ def write_ids(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, SPACE_DROPPED)
+        enc = word_encoder(tokenizer)
         shard, block = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
         ids: list[bytes] = []

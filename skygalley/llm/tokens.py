@@ -28,8 +28,9 @@ SPACE_KEPT = re.compile(f"[{_SPACE}]*{_RUN}")
 #: White space is dropped.
 SPACE_DROPPED = re.compile(f"(?=[^{_SPACE}]){_RUN}")
 
-# Units kept in memory by one Python worker, and the longest unit that is kept.
+# Units and pieces between white space kept in memory by one Python worker, and the longest one that is kept.
 MEMORY_UNITS = 500_000
+MEMORY_PIECES = 750_000
 MEMORY_UNIT_CHARS = 64
 
 
@@ -69,6 +70,91 @@ class UnitEncoder:
         return out
 
 
+class WordEncoder:
+    """As ``UnitEncoder`` where white space is dropped: texts split at white space, what stands between is remembered.
+
+    A piece is cut into units only when it is new. A unit of certain letters goes to the tokenizer's model itself, in lower case
+    and spelled in its byte characters, if a probe of all those letters shows that the tokenizer does the same.
+    """
+
+    def __init__(self, tokenizer_json: str):
+        self.units = UnitEncoder(tokenizer_json, SPACE_DROPPED)
+        self.model = self.units.tokenizer.model
+        letter = byte_characters()
+        sure = re.compile(f"[{_LETTER}]")
+        self.spell = {
+            c: "".join(letter[b] for b in chr(c).lower().encode()) for c in range(0x250) if sure.match(chr(c))
+        }
+        self.is_word = re.compile(f"[{_LETTER}]+").fullmatch
+        self.words: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}
+        probe = [f"{chr(c)}a{chr(c)}{chr(c)}B" for c in self.spell]
+        self.direct = [self._word(p.translate(self.spell)) for p in probe] == self.units.encode(probe)
+
+    def _word(self, spelled: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        if len(self.words) > MEMORY_UNITS:
+            self.words.clear()
+        odd = []
+        for piece in pieces:
+            if not (self.direct and self.is_word(piece) and len(piece) <= MEMORY_UNIT_CHARS):
+                odd.append(piece)
+                continue
+            spelled = piece.translate(self.spell)
+            ids = self.words.get(spelled)
+            if ids is None:
+                ids = self.words[spelled] = self._word(spelled)
+            self.memory[piece] = ids
+        self.memory.update(zip(odd, self._odd(odd)))
+
+    def _odd(self, pieces: list[str]) -> list[bytes]:
+        """Pieces of several units, of which the words are known or learned like other words."""
+        split = [self.units.find(p) for p in pieces]
+        words = {u for units in split for u in units if self.direct and self.is_word(u) and len(u) <= MEMORY_UNIT_CHARS}
+        rest = list(set().union(*split).difference(words))
+        known = dict(zip(rest, self.units.encode(rest)))
+        for word in words:
+            spelled = word.translate(self.spell)
+            ids = self.words.get(spelled)
+            if ids is None:
+                ids = self.words[spelled] = self._word(spelled)
+            known[word] = ids
+        return [b"".join(map(known.__getitem__, units)) for units in split]
+
+    @staticmethod
+    def _pieces(text: str | None) -> list[str]:
+        # str.split also cuts at 0x1C-0x1F, which are no white space to the tokenizer
+        if not text:
+            return []
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return re.findall(f"[^{_SPACE}]+", text)
+        return text.split()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """A null text is empty."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), 64):
+            split = [self._pieces(t) for t in texts[at : at + 64]]
+            known = self.memory
+            if len(known) > MEMORY_PIECES:
+                known.clear()
+            new = set().union(*split).difference(known)
+            self._learn(new)
+            out += [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+            for piece in new:
+                if len(piece) > MEMORY_UNIT_CHARS:
+                    del known[piece]
+        return out
+
+
+@lru_cache(maxsize=2)
+def word_encoder(tokenizer_json: str) -> WordEncoder:
+    """One per Python worker and tokenizer."""
+    return WordEncoder(tokenizer_json)
+
+
 @lru_cache(maxsize=2)
 def encoder(tokenizer_json: str, units: re.Pattern) -> UnitEncoder:
     """One per Python worker and tokenizer."""

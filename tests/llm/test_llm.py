@@ -426,6 +426,21 @@ def test_units_are_encoded_as_whole_texts(real, path, units):
     assert [t for t, g, w in zip(sample, encoder.encode(sample), want) if g != w] == []
 
 
+def test_words_sent_to_the_model_alone(monkeypatch):
+    """Every letter, mixed pieces, odd white space and long pieces, with a memory that overflows, as the library has them."""
+    monkeypatch.setattr(tokens, "MEMORY_UNITS", 300)
+    monkeypatch.setattr(tokens, "MEMORY_PIECES", 200)
+    library = Tokenizer.from_file(WORD_JSON)
+    library.encode_special_tokens = True
+    texts = [t for _, t, *_ in EDGE] + [f"x{chr(c)}y {chr(c)}{chr(c)}Z,{chr(c)}! {chr(c)}" for c in range(1, 0x500)]
+    texts += ["a\x1cb c\x1f\x1ed", "a\u2003b\u3000c\u0085d\u00a0e\u200bf", "don't DON'T we'll", "x" * 70 + ", " + "y" * 65]
+    texts += [" ".join(chr(97 + (i * j) % 26) * (1 + i % 5) for i in range(200)) for j in range(1, 100)]
+    encode = tokens.WordEncoder(tokens.read_json(WORD_JSON))
+    assert encode.direct
+    wanted = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert encode.encode(texts) == wanted and encode.encode(texts[::-1]) == wanted[::-1]
+
+
 def test_token_files(spark, edge, repeated, empty, real, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfiles, "SHARD_BYTES", 200_000)
     monkeypatch.setattr(tokenfiles, "BLOCK_IDS", 2_000)
