@@ -52,10 +52,13 @@ def map_key(
 ) -> DataFrame:
     """Replace a natural key by the key of a dimension; null where the dimension has no row.
 
-    The dimension must hold each natural key once.
+    The dimension must hold each natural key once. A missing key matches nothing, so rows without one are dealt by a number
+    of their own, and payments without a card, however many, never meet in one task. Natural keys are compared as text.
     """
-    side = dim.select(F.col(dim_key).alias("_key"), F.col(dim_value).alias(out))
-    return df.join(side, F.col(on or dim_key) == F.col("_key"), "left").drop("_key")
+    side = dim.select(F.col(dim_key).cast("string").alias("_key"), F.col(dim_value).alias(out))
+    own = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    keyed = df.withColumn("_wanted", F.coalesce(F.col(on or dim_key).cast("string"), own))
+    return keyed.join(side, F.col("_wanted") == F.col("_key"), "left").drop("_wanted", "_key")
 
 
 def fill_from_first(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygalley.functions import anonymize_flight
@@ -142,10 +143,19 @@ _OLD = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_ordersta
 _NEW = "SELECT o_orderkey, o_custkey, 'DONE' AS o_orderstatus FROM orders WHERE o_orderstatus <> 'O'"
 
 
-def _old_and_new(lab: Lab):
-    orders = lab.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    new = orders.where("o_orderstatus <> 'O'").withColumn("o_orderstatus", F.lit("DONE"))
-    return orders.where("o_orderstatus <> 'P'"), new
+def _merged(lab: Lab, keep: str) -> DataFrame:
+    """The old orders stored by month, then the new ones merged into the months that they touch."""
+
+    def write() -> DataFrame:
+        path = f"{lab.root}/merged_{keep}"
+        orders = lab.table("orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate")
+        )
+        sinks.overwrite_by_month(orders.where("o_orderstatus <> 'P'"), path, "o_orderdate")
+        new = orders.where("o_orderstatus <> 'O'").withColumn("o_orderstatus", F.lit("DONE"))
+        return sinks.merge_by_month(lab.spark, path, new, ["o_orderkey"], "o_orderdate", keep)
+
+    return lab.keep(f"merged_{keep}", write).drop("o_orderdate")
 
 
 @query(
@@ -154,7 +164,7 @@ def _old_and_new(lab: Lab):
         WHERE NOT EXISTS (SELECT 1 FROM ({_NEW}) n WHERE n.o_orderkey = o.o_orderkey)""",
 )
 def _upsert(lab: Lab):
-    return sinks.upsert(*_old_and_new(lab), ["o_orderkey"])
+    return _merged(lab, "new")
 
 
 @query(
@@ -163,7 +173,7 @@ def _upsert(lab: Lab):
         WHERE NOT EXISTS (SELECT 1 FROM ({_OLD}) o WHERE n.o_orderkey = o.o_orderkey)""",
 )
 def _insert(lab: Lab):
-    return sinks.insert_missing(*_old_and_new(lab), ["o_orderkey"])
+    return _merged(lab, "old")
 
 
 # --- filters, copies, anonymizing -----------------------------------------------------------------

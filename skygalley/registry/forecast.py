@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygalley.config import BoostingConfig
+from skygalley.config import BoostingConfig, ForecastConfig
 from skygalley.forecast import evaluation as ev
 from skygalley.forecast import folds, models, neighbours, preparation, scoring
 from skygalley.functions import absolute_error, floor_threshold, half_even
@@ -516,7 +516,59 @@ def _poisson(lab: Lab):
     return out.select("flight_key", "item_id", "sold_quantity", "predicted")
 
 
-@query("base_knn")
+_KNN_FEATURES = ("hist_avg", "bin_rank", "item_mean", "route_mean", "period_mean")
+_RANK = " ".join(f"WHEN '{label}' THEN {float(i)}" for i, label in enumerate(ForecastConfig().pax_labels))
+
+
+def _knn_mean(column: str, name: str) -> str:
+    return f"SELECT {column}, (sum(y) + (SELECT avg(y) FROM tr)) / (count(*) + 1) AS {name} FROM tr GROUP BY 1"
+
+
+def _knn_points(rows: str) -> str:
+    scaled = ", ".join(
+        f"round((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM tm)) / (SELECT stddev_samp({c}) FROM tm), 9) AS x{i}"
+        for i, c in enumerate(_KNN_FEATURES)
+    )
+    return f"SELECT y, {scaled} FROM {rows}"
+
+
+def _knn_rows(table: str) -> str:
+    return f"""SELECT *, CAST(sold_quantity AS DOUBLE) AS y, CASE pax_bin {_RANK} END AS bin_rank FROM {table}
+        WHERE hist_avg IS NOT NULL AND pax_bin IS NOT NULL"""
+
+
+def _knn_with_means(rows: str) -> str:
+    overall = "(SELECT avg(y) FROM tr)"
+    return f"""SELECT r.y, r.hist_avg, r.bin_rank, coalesce(i.m, {overall}) AS item_mean, coalesce(o.m, {overall}) AS route_mean,
+        coalesce(p.m, {overall}) AS period_mean FROM {rows} r
+        LEFT JOIN ({_knn_mean("item_id", "m")}) i ON i.item_id IS NOT DISTINCT FROM r.item_id
+        LEFT JOIN ({_knn_mean("route", "m")}) o ON o.route IS NOT DISTINCT FROM r.route
+        LEFT JOIN ({_knn_mean("day_period", "m")}) p ON p.day_period IS NOT DISTINCT FROM r.day_period"""
+
+
+_X = "x0, x1, x2, x3, x4"
+_KNN = f"""SELECT * FROM (
+  WITH tr AS ({_knn_rows("fc_train")}), te AS ({_knn_rows("fc_test")}),
+  tm AS MATERIALIZED ({_knn_with_means("tr")}), em AS MATERIALIZED ({_knn_with_means("te")}),
+  known AS MATERIALIZED (SELECT {_X}, count(*) AS n, sum(y) AS total FROM ({_knn_points("tm")}) GROUP BY {_X}),
+  asked AS MATERIALIZED ({_knn_points("em")}),
+  points AS (SELECT DISTINCT {_X} FROM asked),
+  near AS (SELECT a.*, k.n, k.total, row_number() OVER w AS place, coalesce(sum(k.n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+      AND 1 PRECEDING), 0) AS before FROM points a, known k
+    WINDOW w AS (PARTITION BY a.x0, a.x1, a.x2, a.x3, a.x4 ORDER BY sqrt({" + ".join(f"(a.x{i} - k.x{i}) * (a.x{i} - k.x{i})" for i in range(5))}),
+      k.n DESC, k.total DESC)
+    QUALIFY place <= 7),
+  means AS (SELECT {_X}, k, sum(greatest(least(n, k - before), 0) * total / n) / sum(greatest(least(n, k - before), 0)) AS raw
+    FROM near, (VALUES (3), (5), (7)) v(k) GROUP BY ALL),
+  decided AS (SELECT k, t AS threshold, y AS sold_quantity,
+      CAST(floor(raw) + CASE WHEN raw - floor(raw) >= t THEN 1 ELSE 0 END AS INTEGER) AS predicted
+    FROM asked JOIN means USING ({_X}), (VALUES (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE)) u(t))
+  SELECT k, threshold, CAST(sum(abs(sold_quantity - predicted)) AS DOUBLE) / count(*) AS mae,
+    {_share("predicted = sold_quantity", "accurate")}, {_share("predicted > sold_quantity", "waste")},
+    {_share("predicted < sold_quantity", "lost_sale")} FROM decided GROUP BY k, threshold)"""
+
+
+@query("base_knn", _KNN)
 def _neighbours(lab: Lab):
     """Mean absolute error for each number of neighbours and each rounding threshold."""
     cfg, ks = lab.forecast, (3, 5, 7)

@@ -20,6 +20,13 @@ def month_key(day: Column) -> Column:
     return F.year(day) * 100 + F.month(day)
 
 
+def with_month(df: DataFrame, column: str) -> DataFrame:
+    """Add the folder column for a date or a day number (20260315)."""
+    is_date = isinstance(df.schema[column].dataType, T.DateType)
+    month = month_key(F.col(column)) if is_date else F.floor(F.col(column) / 100).cast("int")
+    return df.withColumn(MONTH, month)
+
+
 def overwrite_by_month(df: DataFrame, path: str, column: str = "date") -> DataFrame:
     """Replace a table, one folder per month of a date or of a day number (20260315); return it as stored.
 
@@ -27,9 +34,7 @@ def overwrite_by_month(df: DataFrame, path: str, column: str = "date") -> DataFr
     few files; a large month is split again by its size. As a file holds one month, a comparison with a day also
     skips files by their statistics.
     """
-    is_date = isinstance(df.schema[column].dataType, T.DateType)
-    month = month_key(F.col(column)) if is_date else F.floor(F.col(column) / 100).cast("int")
-    dealt = df.withColumn(MONTH, month).hint("rebalance", F.col(MONTH))
+    dealt = with_month(df, column).hint("rebalance", F.col(MONTH))
     dealt.write.mode("overwrite").partitionBy(MONTH).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).drop(MONTH)
 
@@ -66,3 +71,30 @@ def insert_missing(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
     """Rows of ``new`` are added only where ``old`` lacks the key."""
     return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
 
+
+
+def merge_by_month(
+    spark: SparkSession, path: str, new: DataFrame, keys: list[str], column: str, keep: str = "new"
+) -> DataFrame:
+    """Merge rows into a table of ``overwrite_by_month`` and return it as stored; ``keep`` names the side that wins.
+
+    Only the months that the new rows lie in are read, merged and replaced; the files of all others stay. A key must keep
+    its month, as keys of dated rows do. The merged months are written beside the table first, so a merge that
+    fails leaves the table as it was, and one that is repeated gives the same rows. Without new rows nothing is written.
+    """
+    if keep not in ("new", "old"):
+        raise ValueError("keep is 'new' or 'old'")
+    # The month is a column of the folders; its type is stated so that a table of one odd month reads alike.
+    stored = spark.read.schema(T.StructType([*new.schema.fields, T.StructField(MONTH, T.IntegerType())])).parquet(path)
+    dated = with_month(new, column)
+    months = [row[MONTH] for row in dated.select(MONTH).distinct().collect()]  # a row per month of the calendar
+    if months:
+        touched = F.col(MONTH).isin([m for m in months if m is not None])
+        if None in months:
+            touched = touched | F.col(MONTH).isNull()
+        old = stored.where(touched).select(dated.columns)
+        merged = (upsert if keep == "new" else insert_missing)(old, dated, keys)
+        beside = overwrite(merged, f"{path.rstrip('/')}_merging")
+        writer = beside.hint("rebalance", F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return spark.read.schema(new.schema).parquet(path).drop(MONTH)

@@ -316,6 +316,7 @@ def test_whole_run_stores_results(spark, lab, tmp_path):
 def test_neighbours_against_brute_force(spark, monkeypatch, slice_points):
     """All distances computed in plain Python; small slices force many slice pairs."""
     monkeypatch.setattr(neighbours, "SLICE_POINTS", slice_points)
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 16 if slice_points == 40 else 512)
     rng = random.Random(7)
     # distinct distances nearly surely; one point holds a third of the rows
     train = [([rng.random(), rng.random()], rng.randrange(9)) for _ in range(200)]
@@ -353,6 +354,27 @@ def test_equally_far_points_do_not_depend_on_slices(spark, monkeypatch, slice_po
     assert math.isclose(got.knn_3, 25 / 3)
 
 
+def test_far_cells_are_not_searched(spark, monkeypatch):
+    """Points in ten clumps: a point meets its own clump, not the other nine."""
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 25)
+    rng = random.Random(2)
+    known = [([10.0 * (i % 10) + rng.random(), rng.random()], 1, float(i)) for i in range(400)]
+    known = spark.createDataFrame(known, "point array<double>, n bigint, total double")
+    asked = spark.createDataFrame([([10.0 * (i % 10) + rng.random(), rng.random()],) for i in range(100)], "point array<double>")
+    placed, cells = neighbours.build_cells(known)
+    assert placed.count() == 400 and len(cells.low) == 16
+    own = neighbours._with_cell(asked, cells.axis, cells.border).withColumn("bound", F.lit(1.5))
+    assert neighbours._other_cells(own, cells).count() < 5 * 100
+    assert neighbours._other_cells(own.withColumn("bound", F.lit(None).cast("double")), cells).count() == 15 * 100
+    near = neighbours.nearest_points(known, asked, 3).collect()
+    best = {}
+    for r in near:
+        best.setdefault(tuple(r.point), []).append(r.distance)
+    rows = [r.point for r in known.collect()]
+    for (q,) in asked.collect():
+        assert sorted(best[tuple(q)])[:3] == [math.sqrt(s) for s in sorted(sum((a - b) ** 2 for a, b in zip(p, q)) for p in rows)[:3]]
+
+
 def test_half_written_runs_are_passed_over(spark):
     metrics = spark.createDataFrame(
         [(1, "accuracy", 0.5), (2, "accuracy", 0.9)], "run_id int, metric_name string, metric_value double"

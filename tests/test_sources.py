@@ -1,6 +1,8 @@
+import datetime
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from skygalley import session
 from skygalley.sources import lineage, readers, sinks
@@ -96,3 +98,49 @@ def test_tables_go_where_the_cluster_says(spark):
     assert spark.sparkContext.getCheckpointDir()
     one, two = session.new_table_root(spark), session.new_table_root(spark)
     assert one != two and one.startswith(folder.rstrip("/"))
+
+
+def test_merge_replaces_touched_months_only(spark, tmp_path):
+    import glob
+    import os
+
+    kinds = "k int, v string, day date"
+    day = [datetime.date(2025, 11, 3), datetime.date(2025, 12, 5), datetime.date(2026, 1, 7)]
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(i, "old", day[i % 3]) for i in range(30)] + [(99, "old", None)], kinds)
+    sinks.overwrite_by_month(old, path, "day")
+
+    def files(month):
+        return sorted(os.path.basename(f) for f in glob.glob(f"{path}/month_key={month}/*.parquet"))
+
+    before = {m: files(m) for m in ("202511", "202512", "202601")}
+    new = spark.createDataFrame([(1, "new", day[1]), (100, "new", day[1]), (99, "new", None)], kinds)
+    got = {r.k: r.v for r in sinks.merge_by_month(spark, path, new, ["k"], "day").collect()}
+    assert got == {**{i: "old" for i in range(30)}, 1: "new", 99: "new", 100: "new"}
+    assert files("202511") == before["202511"] and files("202601") == before["202601"]
+    assert files("202512") != before["202512"]
+    again = spark.createDataFrame([(1, "third", day[1]), (200, "third", day[0])], kinds)
+    got = {r.k: r.v for r in sinks.merge_by_month(spark, path, again, ["k"], "day", keep="old").collect()}
+    assert got[1] == "new" and got[200] == "third" and len(got) == 33
+    assert files("202601") == before["202601"]
+    same = files("202511")
+    assert sinks.merge_by_month(spark, path, again.limit(0), ["k"], "day").count() == 33 and files("202511") == same
+
+
+def test_rows_without_a_key_do_not_meet(spark):
+    from skygalley.operators import joins
+
+    rows = spark.createDataFrame([(None if i % 3 else f"c{i % 5}", i) for i in range(900)], "card string, i int")
+    cards = spark.createDataFrame([("c0", 10), ("c1", 11), (None, 12)], "card string, card_key int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = joins.map_key(rows.repartition(4), cards, "card", "card_key", "key")
+        assert out.columns == ["card", "i", "key"] and out.count() == 900
+        assert {r.key for r in out.where("card is null").select("key").distinct().collect()} == {None}
+        assert out.where("key = 10").count() == out.where("card = 'c0'").count() > 0
+        parts = [r["n"] for r in out.where("card is null").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(parts) < 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
