@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygalley.errors import ValidationError
 from skygalley.functions import absolute_error, half_even, non_negative_int, ratio
 from skygalley.operators.cleaning import first_per_key
-from skygalley.sources.sinks import append_or_replace
+from skygalley.sources.sinks import folder_exists, overwrite, table_exists
 
 
 def _n(condition: Column) -> Column:
@@ -170,11 +172,10 @@ METRIC_MODEL = {
 }
 
 
-def metric_rows(metrics: DataFrame, run_id: int) -> DataFrame:
-    """One evaluated row as eleven (run, model, metric, value) rows."""
+def metric_rows(metrics: DataFrame) -> DataFrame:
+    """One evaluated row as eleven (model, metric, value) rows."""
     entries = [
         F.struct(
-            F.lit(run_id).alias("run_id"),
             F.lit(model).alias("model_type"),
             F.lit(name).alias("metric_name"),
             F.col(name).cast("double").alias("metric_value"),
@@ -206,10 +207,7 @@ def is_degraded(previous: float | None, current: float, allowed: float) -> tuple
 def latest_accuracy(
     metrics: DataFrame, runs: DataFrame | None = None, threshold_type: str | None = None
 ) -> float | None:
-    """Accuracy of the latest stored run; with ``threshold_type`` of the latest run of that kind.
-
-    With ``runs`` only complete runs count: what a run left that ended half-way is passed over.
-    """
+    """Accuracy of the latest stored run; with ``runs`` of the latest among those, and of one kind by ``threshold_type``."""
     rows = metrics.where("metric_name = 'accuracy'")
     if runs is not None:
         complete = runs if threshold_type is None else runs.where(F.col("threshold_type") == threshold_type)
@@ -218,36 +216,73 @@ def latest_accuracy(
     return last[0] if last else None
 
 
-def next_run_id(*stored: DataFrame | None) -> int:
-    """One more than any id in the given tables, half-written runs included; one writer at a time."""
-    tables = [t.agg(F.max("run_id")).first()[0] for t in stored if t is not None]
-    return max((i for i in tables if i is not None), default=0) + 1
+# Results of a run, and the table whose rows are the manifests: a run exists once its manifest does.
+RESULT_TABLES = ("model_metrics", "feature_importance", "model_metrics_by_item")
+MANIFESTS = "model_runs"
+COMMIT = "commit_id"
+
+
+def new_commit() -> str:
+    """An id that no other writer has."""
+    return uuid.uuid4().hex
+
+
+def _folder(root: str, table: str, commit: str) -> str:
+    # the letter keeps an id of digits from being read as a number
+    return f"{root.rstrip('/')}/{table}/{COMMIT}=c{commit}"
 
 
 def store_run(
     root: str,
-    run_id: int,
+    commit: str,
     version: str,
     threshold_type: str,
     threshold: float,
     metrics: DataFrame,
     by_item: DataFrame,
     importance: DataFrame,
-) -> None:
-    """Append the run and all its results; the run row comes last and so marks a complete run."""
-    if run_id < 1:
-        raise ValidationError("run ids start at 1")
-    append_or_replace(metric_rows(metrics, run_id), root, "model_metrics")
-    append_or_replace(importance.withColumn("run_id", F.lit(run_id)), root, "feature_importance")
-    append_or_replace(by_item.withColumn("run_id", F.lit(run_id)), root, "model_metrics_by_item")
-    run = metrics.sparkSession.range(1).select(
-        F.lit(run_id).alias("run_id"),
+) -> bool:
+    """Store the results of a run under its commit id, then its manifest; whether this call completed the run.
+
+    Writers share nothing but the root: each commit has folders of its own, so several may write at once, and none waits
+    for or counts the others. A call that is repeated under the id of a run that ended half-way replaces what was
+    left; under the id of a complete run it writes nothing.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", commit):
+        raise ValidationError(f"no commit id: {commit!r}")
+    spark = metrics.sparkSession
+    if table_exists(spark, _folder(root, MANIFESTS, commit)):
+        return False
+    for table, rows in zip(RESULT_TABLES, (metric_rows(metrics), importance, by_item)):
+        overwrite(rows, _folder(root, table, commit))
+    manifest = spark.range(1).select(
         F.lit(version).alias("model_version"),
         F.lit(threshold_type).alias("threshold_type"),
         F.lit(float(threshold)).alias("threshold_value"),
         F.current_timestamp().alias("created_at"),
     )
-    append_or_replace(run, root, "model_runs")
+    overwrite(manifest, _folder(root, MANIFESTS, commit))
+    return True
+
+
+_MANIFEST = f"model_version string, threshold_type string, threshold_value double, created_at timestamp, {COMMIT} string"
+
+
+def stored_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The complete runs under a root, numbered from 1 in the order in which they were completed; none without any."""
+    folder = f"{root.rstrip('/')}/{MANIFESTS}"
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], f"run_id int, {_MANIFEST}")
+    runs = spark.read.schema(_MANIFEST).parquet(folder)
+    # a row per run: a short series
+    order = Window.orderBy("created_at", COMMIT)
+    return runs.withColumn("run_id", F.row_number().over(order)).select("run_id", *runs.columns)
+
+
+def run_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Results of the complete runs, with their run ids; what a run left that has no manifest is passed over."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/{table}")
+    return rows.join(stored_runs(spark, root).select("run_id", COMMIT), COMMIT).drop(COMMIT)
 
 
 def estimated_accuracy(by_item: DataFrame, runs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from skygalley.config import ForecastConfig
 from skygalley.errors import ModelDegradationError
@@ -12,35 +12,29 @@ from skygalley.forecast import evaluation as ev
 from skygalley.forecast.folds import test_part
 from skygalley.forecast.models import TwoStageModel, decide, feature_importance, fit_two_stage, raw_predictions
 from skygalley.forecast.preparation import build_features, clean_data, hist_lookup, validate
-from skygalley.sources.sinks import append_or_replace, overwrite, table_exists
+from skygalley.sources.sinks import append_or_replace, overwrite
 
 log = logging.getLogger(__name__)
 
 
-# Tables of stored runs that carry a run id, in the order in which they are written.
-RUN_TABLES = ("model_metrics", "feature_importance", "model_metrics_by_item", "model_runs")
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or nothing where there is no such folder; a table that can't be read raises."""
-    return spark.read.parquet(path) if table_exists(spark, path) else None
-
-
 def run_forecast(
     mart: DataFrame,
     root: str,
     version: str,
     cfg: ForecastConfig | None = None,
     raise_on_degradation: bool = False,
+    commit: str | None = None,
 ) -> TwoStageModel:
     """Train, evaluate at every threshold and store the results under ``root``.
 
-    Results of a degraded model are logged and not stored, so the last good run stays the latest.
+    Results of a degraded model are logged and not stored, so the last good run stays the latest. A run that is repeated
+    after a failure under the same ``commit`` (a new one unless stated) stores what is still missing.
 
     The cleaned rows and the features are written once: later steps read both many times, and a lost
     executor then costs a re-read and not a rebuild of the warehouse.
     """
     cfg = cfg or ForecastConfig()
+    commit = commit or ev.new_commit()
     spark = mart.sparkSession
     root = root.rstrip("/")
     clean = overwrite(clean_data(mart), f"{root}/clean")
@@ -55,9 +49,9 @@ def run_forecast(
     for threshold_type, threshold in cfg.thresholds.items():
         decided = decide(raw, threshold)
         metrics = ev.evaluate(decided, cfg.target)
-        stored = {t: _stored(spark, f"{root}/{t}") for t in RUN_TABLES}
-        complete = stored["model_runs"]
-        previous = ev.latest_accuracy(stored["model_metrics"], complete) if complete is not None else None
+        runs = ev.stored_runs(spark, root)
+        known = not runs.isEmpty()
+        previous = ev.latest_accuracy(ev.run_table(spark, root, "model_metrics"), runs) if known else None
         degraded, message = ev.is_degraded(
             previous, metrics.first()["accuracy"], cfg.degradation_threshold
         )
@@ -68,7 +62,7 @@ def run_forecast(
             continue
         ev.store_run(
             root,
-            ev.next_run_id(*stored.values()),
+            f"{commit}_{threshold_type}",
             version,
             threshold_type,
             threshold,

@@ -312,7 +312,8 @@ def _stored(lab: Lab) -> str:
             out = test.withColumn("predicted", floor_threshold(F.col("hist_avg"), cut))
             out = out.withColumn("predicts_sale", (F.col("predicted") > 0).cast("int"))
             metrics, by_item = ev.evaluate(out), ev.evaluate_by_item(out)
-            ev.store_run(root, run_id, f"v{run_id}", "cut", cut, metrics, by_item, importance)
+            for _ in range(2):  # the second call finds the run complete
+                ev.store_run(root, f"cut{run_id}", f"v{run_id}", "cut", cut, metrics, by_item, importance)
         return root
 
     return lab.keep("runs", write)
@@ -333,11 +334,11 @@ def _cut_sql(cut: float) -> str:
     ),
 )
 def _store(lab: Lab):
+    """Runs of the baseline at three cut-offs (no trained models; their importance row is a stand-in), each stored twice."""
     root = _stored(lab)
-    read = lab.spark.read.parquet
-    metrics = read(f"{root}/model_metrics").groupBy("run_id").pivot("metric_name", ["accuracy", "mae"])
+    metrics = ev.run_table(lab.spark, root, "model_metrics").groupBy("run_id").pivot("metric_name", ["accuracy", "mae"])
     wide = metrics.agg(F.max("metric_value"))
-    runs = read(f"{root}/model_runs").select("run_id", "model_version", "threshold_value")
+    runs = ev.stored_runs(lab.spark, root).select("run_id", "model_version", "threshold_value")
     return runs.join(wide, "run_id")
 
 
@@ -358,7 +359,7 @@ def _degradation(lab: Lab):
     """Each stored run against the one before it, by the strict rule."""
     from pyspark.sql import Window
 
-    rows = lab.spark.read.parquet(f"{_stored(lab)}/model_metrics").where("metric_name = 'accuracy'")
+    rows = ev.run_table(lab.spark, _stored(lab), "model_metrics").where("metric_name = 'accuracy'")
     # one row per stored run: a short series
     previous = F.lag("metric_value").over(Window.orderBy("run_id"))
     out = rows.select("run_id", F.col("metric_value").alias("accuracy"), previous.alias("previous"))
@@ -374,8 +375,9 @@ def _degradation(lab: Lab):
         AS estimated_accuracy FROM ({_cut_sql(_CUTS[-1])}) GROUP BY item_id""",
 )
 def _estimated(lab: Lab):
-    root, read = _stored(lab), lab.spark.read.parquet
-    return ev.estimated_accuracy(read(f"{root}/model_metrics_by_item"), read(f"{root}/model_runs"))
+    root = _stored(lab)
+    by_item = ev.run_table(lab.spark, root, "model_metrics_by_item")
+    return ev.estimated_accuracy(by_item, ev.stored_runs(lab.spark, root))
 
 
 # --- models -------------------------------------------------------------------------------------
@@ -690,10 +692,9 @@ def _score_item(lab: Lab):
     """The product with the most sales."""
     best = mart(lab).groupBy("item_id").agg(F.sum("sold_quantity").alias("n"))
     item = best.orderBy(F.desc("n"), "item_id").first()["item_id"]
-    root, read = _stored(lab), lab.spark.read.parquet
-    accuracy = ev.estimated_accuracy(
-        read(f"{root}/model_metrics_by_item"), read(f"{root}/model_runs")
-    )
+    root = _stored(lab)
+    by_item = ev.run_table(lab.spark, root, "model_metrics_by_item")
+    accuracy = ev.estimated_accuracy(by_item, ev.stored_runs(lab.spark, root))
     return scoring.score_item(_requests(lab), _score_table(lab), item, accuracy, lab.forecast)
 
 

@@ -45,6 +45,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def append_or_replace(df: DataFrame, root: str, table: str) -> str:
     """Lookup tables are replaced, every other table grows."""
     path = f"{root.rstrip('/')}/{table}"

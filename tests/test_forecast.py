@@ -175,7 +175,7 @@ def test_evaluation_counts(spark):
     assert (got.precision, got.accuracy, got.mae) == (1.0, 0.75, 1.0)
     assert math.isclose(got.recall, 2 / 3) and math.isclose(got.f1, 0.8)
     assert (got.accurate, got.waste, got.lost_sale, got.accurate_share) == (2, 1, 1, 0.5)
-    assert ev.metric_rows(ev.evaluate(df), 3).count() == 11
+    assert ev.metric_rows(ev.evaluate(df)).count() == 11
     none = df.withColumn("predicts_sale", F.lit(0))
     assert ev.evaluate(none).first().precision == 0.0
 
@@ -303,11 +303,11 @@ def test_whole_run_stores_results(spark, lab, tmp_path):
     cfg = dataclasses.replace(CFG, classifier=rounds, regressor=rounds)
     root = str(tmp_path)
     run_forecast(lab.wh.ref("mart_fresh_food_order_sale"), root, "v1", cfg)
-    runs = spark.read.parquet(f"{root}/model_runs").orderBy("run_id").collect()
+    runs = ev.stored_runs(spark, root).orderBy("run_id").collect()
     assert [(r.run_id, r.threshold_type) for r in runs][:1] == [(1, "low_missed_sales")]
-    metrics = spark.read.parquet(f"{root}/model_metrics")
+    metrics = ev.run_table(spark, root, "model_metrics")
     assert metrics.count() == 11 * len(runs)
-    assert spark.read.parquet(f"{root}/feature_importance").count() == 5 * len(runs)
+    assert ev.run_table(spark, root, "feature_importance").count() == 5 * len(runs)
     assert spark.read.parquet(f"{root}/lookup_hist_avg").count() > 0
     assert ev.latest_accuracy(metrics) is not None
 
@@ -375,14 +375,59 @@ def test_far_cells_are_not_searched(spark, monkeypatch):
         assert sorted(best[tuple(q)])[:3] == [math.sqrt(s) for s in sorted(sum((a - b) ** 2 for a, b in zip(p, q)) for p in rows)[:3]]
 
 
-def test_half_written_runs_are_passed_over(spark):
-    metrics = spark.createDataFrame(
-        [(1, "accuracy", 0.5), (2, "accuracy", 0.9)], "run_id int, metric_name string, metric_value double"
-    )
-    runs = spark.createDataFrame([(1, "low_wastage")], "run_id int, threshold_type string")
-    assert ev.latest_accuracy(metrics, runs) == 0.5
-    assert ev.latest_accuracy(metrics, runs, "other") is None
-    assert ev.next_run_id(runs, metrics, None) == 3 and ev.next_run_id(None) == 1
+def run_parts(spark, accuracy):
+    rows = [("i", 1, 1, 1)] * accuracy + [("i", 1, 0, 0)] * (10 - accuracy)
+    df = spark.createDataFrame(rows, "item_id string, sold_quantity int, predicted int, predicts_sale int")
+    importance = spark.createDataFrame([("f", 1.0)], "feature_name string, classifier_importance double")
+    return ev.evaluate(df), ev.evaluate_by_item(df), importance
+
+
+def test_half_written_runs_are_passed_over(spark, tmp_path, monkeypatch):
+    """A run that dies before its manifest is no run; the same id completes it, and once more changes nothing."""
+    root = str(tmp_path)
+    assert ev.stored_runs(spark, root).count() == 0
+    assert ev.store_run(root, "a", "v1", "low_wastage", 0.7, *run_parts(spark, 5))
+    overwrite = ev.overwrite
+
+    def dies(df, path):
+        if "by_item" in path:
+            raise RuntimeError("lost")
+        return overwrite(df, path)
+
+    monkeypatch.setattr(ev, "overwrite", dies)
+    with pytest.raises(RuntimeError):
+        ev.store_run(root, "b", "v2", "low_wastage", 0.7, *run_parts(spark, 9))
+    monkeypatch.setattr(ev, "overwrite", overwrite)
+
+    def metrics():
+        return ev.run_table(spark, root, "model_metrics")
+
+    assert metrics().count() == 11 and ev.latest_accuracy(metrics(), ev.stored_runs(spark, root)) == 0.5
+    assert ev.store_run(root, "b", "v2", "low_wastage", 0.7, *run_parts(spark, 9))
+    assert not ev.store_run(root, "b", "v2", "low_wastage", 0.7, *run_parts(spark, 1))
+    runs = ev.stored_runs(spark, root)
+    assert metrics().count() == 22 and ev.latest_accuracy(metrics(), runs) == 0.9
+    assert ev.latest_accuracy(metrics(), runs, "other") is None
+    with pytest.raises(ValidationError):
+        ev.store_run(root, "no/id", "v", "t", 0.1, *run_parts(spark, 1))
+
+
+def test_two_writers_do_not_meet(spark, tmp_path, monkeypatch):
+    """A second writer stores its whole run between the tables of the first."""
+    root, overwrite, inside = str(tmp_path), ev.overwrite, []
+
+    def interleaved(df, path):
+        if "feature_importance" in path and not inside:
+            inside.append("second")
+            ev.store_run(root, "12", "v2", "low_wastage", 0.7, *run_parts(spark, 7))
+        return overwrite(df, path)
+
+    monkeypatch.setattr(ev, "overwrite", interleaved)
+    assert ev.store_run(root, "11", "v1", "low_wastage", 0.7, *run_parts(spark, 4))
+    got = ev.run_table(spark, root, "model_metrics").where("metric_name = 'accuracy'").collect()
+    runs = {r.run_id: r.model_version for r in ev.stored_runs(spark, root).collect()}
+    assert {runs[r.run_id]: r.metric_value for r in got} == {"v1": 0.4, "v2": 0.7} and sorted(runs) == [1, 2]
+    assert runs[2] == "v1"  # completed last
 
 
 def test_tuning_ranks_settings(spark, lab):
