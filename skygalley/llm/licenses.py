@@ -22,6 +22,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK, STEP = 64, 32
 CONTAINMENT = 0.8
+# Templates of so few words are names: all their words are needed, with so many others between them at most.
+NAME_WORDS, NAME_GAP = 4, 2
 
 PHRASES = {
     "cc-by": ("cc", "by"),
@@ -96,6 +98,8 @@ TEMPLATES = {
 def window(template: str) -> tuple[int, int]:
     """Words of a block and of the step to the next, such that some block holds the template wherever it stands."""
     n = len(template.split())
+    if n <= NAME_WORDS:
+        return n + NAME_GAP, 1
     return (BLOCK, STEP) if n <= min(STEP, BLOCK - STEP) else (2 * n, n)
 
 
@@ -143,8 +147,8 @@ def scan(
 
     Words are runs of letters A-Z (lowered), digits and non-ASCII characters. A phrase counts at every place where its words
     stand side by side. A template's label is added if some block of its ``window`` (BLOCK words, taken every STEP words, or
-    more for a template above STEP words) holds at least ``containment`` of its distinct words, which is all of them up to
-    four. Labels are sorted and joined by commas, empty if none. score is 1 with a
+    more for a template above STEP words) holds at least ``containment`` of its distinct words. A name (up to four words)
+    must stand together: blocks have two words more than it and begin at every word. Labels are sorted and joined by commas, empty if none. score is 1 with a
     phrase, else the largest containment among added templates, else 0. Null and empty texts have no words. Repeated rows
     are judged each. Other columns are ignored.
     """
@@ -164,7 +168,7 @@ def scan(
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     counted = plain.select("doc_id", "text", _words(F.col("text")).alias("raw")).select(
         "doc_id",
-        F.coalesce(F.size("raw"), F.lit(0)).alias("n_words"),
+        F.when(F.col("raw").isNull(), 0).otherwise(F.size("raw")).alias("n_words"),
         F.when(
             F.expr(f"exists(raw, w -> {_among('lower(w)', telling)})"),
             F.expr(f"transform(raw, w -> translate(w, '{UPPER}', '{LOWER}'))"),
@@ -179,6 +183,10 @@ def scan(
         inside = f"filter(slice(words, s + 1, {size}), w -> {_among('w', vocabulary)})"
         tokens = f"array_sort(array_distinct(transform({inside}, w -> map({ranks})[w])))"
         starts = f"sequence(0, greatest(size(words) - 1, 0), {step})"
+        if step == 1:
+            # a block that holds a name can begin at the first of its words
+            names = set().union(*(s for label, s in sets.items() if own_window[label] == number))
+            starts = f"filter({starts}, i -> {_among('get(words, i)', names)})"
         return f"transform({starts}, s -> struct({number} as window, {tokens} as tokens))"
 
     cut = ", ".join(blocks_of(i) for i in range(len(windows)))

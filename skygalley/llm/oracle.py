@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skygalley.llm.licenses import BLOCK, CONTAINMENT, STEP, TEMPLATES
+from skygalley.llm.licenses import CONTAINMENT, TEMPLATES, window
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -66,7 +66,9 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(len(r.r), 0) AS n_removed, sha256
 FROM words w LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
-_TEMPLATE_ROWS = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES.items())
+# A block of a name that holds all its words can begin at one of them.
+_NAME_STARTS = ", ".join(sorted({f"'{w}'" for text in TEMPLATES.values() if window(text)[1] == 1 for w in text.split()}))
+_TEMPLATE_ROWS = ", ".join(f"('{label}', '{text}', {window(text)[0]}, {window(text)[1]})" for label, text in TEMPLATES.items())
 
 LICENSES = f"""
 WITH words AS (
@@ -83,12 +85,14 @@ WITH words AS (
   SELECT doc_id, count(*) AS n, min(p) AS first_word, max(p) AS last_word, list(DISTINCT label) AS labels
   FROM base WHERE label IS NOT NULL GROUP BY doc_id
 ), templates AS (
-  SELECT label, list_distinct(string_split(t, ' ')) AS ws FROM (VALUES {_TEMPLATE_ROWS}) v(label, t)
+  SELECT label, list_distinct(string_split(t, ' ')) AS ws, size, step FROM (VALUES {_TEMPLATE_ROWS}) v(label, t, size, step)
 ), blocks AS (
-  SELECT doc_id, w[s + 1:s + {BLOCK}] AS b
-  FROM (SELECT doc_id, w, unnest(generate_series(0, len(w) - 1, {STEP})) AS s FROM words WHERE len(w) > 0)
+  SELECT doc_id, size, step, w[s + 1:s + size] AS b
+  FROM (SELECT doc_id, w, size, step, unnest(generate_series(0, len(w) - 1, step)) AS s
+        FROM words, (SELECT DISTINCT size, step FROM templates) WHERE len(w) > 0)
+  WHERE step > 1 OR w[s + 1] IN ({_NAME_STARTS})
 ), held AS (
-  SELECT doc_id, label, len(list_intersect(ws, b)) / len(ws) AS share FROM blocks, templates
+  SELECT doc_id, label, len(list_intersect(ws, b)) / len(ws) AS share FROM blocks JOIN templates USING (size, step)
 ), best AS (
   SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM held WHERE share >= {CONTAINMENT} - 1e-9
   GROUP BY doc_id

@@ -643,11 +643,11 @@ def brute_scan(pairs):
         every = sorted(p for v in places.values() for p in v)
         base = sorted(k for k, v in places.items() if v)
         best, added = 0.0, set()
-        for start in range(0, len(w), licenses.STEP):
-            block = set(w[start : start + licenses.BLOCK])
-            for label, template in licenses.TEMPLATES.items():
-                t = set(template.split())
-                share = len(t & block) / len(t)
+        for label, template in licenses.TEMPLATES.items():
+            t = set(template.split())
+            size, step = licenses.window(template)
+            for start in range(0, len(w), step):
+                share = len(t & set(w[start : start + size])) / len(t)
                 if share >= licenses.CONTAINMENT - 1e-9:
                     best = max(best, share)
                     added.add(label)
@@ -675,6 +675,15 @@ def test_license_scan(spark, edge, repeated, empty, real):
     assert labels[50] == "mit-text" and "bsd" not in labels[51]
 
 
+def test_license_scan_of_nulls_without_ansi(spark, edge):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        found = licenses.scan(edge).where("doc_id <= 3").collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert [(r["n_words"], r["labels"], r["score"]) for r in found] == [(0, "", 0.0)] * 3
+
+
 def test_license_scan_is_native(edge):
     plan = licenses.scan(edge)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct", plan)
@@ -745,6 +754,10 @@ def test_license_names_of_others(spark):
         "Licensed under the Apache License, Version 2.0": "apache-2.0",
         "licensed under cc by-nc 4.0": "cc-by,cc-by-nc",
         "this work is licensed under the gnu general public license version 3": "gnu-gpl,gpl",
+        "She studied at MIT under a professor who lost her driving license": "",
+        "please cc everyone by noon the NC office is closed": "",
+        "the apache helicopter needs a license version 2 and 0 defects": "",
+        "mozilla is a public company and needs a license": "",
     }
     df = spark.createDataFrame(rows_of([(i, t, "en", "a") for i, t in enumerate(lines)]), COLUMNS)
     assert {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()} == dict(enumerate(lines.values()))
