@@ -6,13 +6,13 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygalley.errors import ValidationError
 from skygalley.functions import absolute_error, half_even, non_negative_int, ratio
 from skygalley.operators.cleaning import first_per_key
+from skygalley.operators.stats import auc
 from skygalley.sources.sinks import folder_exists, overwrite, table_exists
 
 
@@ -145,13 +145,9 @@ def deep_report(decided: DataFrame, target: str = "sold_quantity") -> DataFrame:
     )
 
 
-def roc_auc(raw: DataFrame, target: str = "sold_quantity") -> float:
-    scored = raw.select(
-        (F.col(target) > 0).cast("double").alias("label"), F.col("sale_probability").alias("score")
-    )
-    return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="score", metricName="areaUnderROC", numBins=0
-    ).evaluate(scored)
+def roc_auc(raw: DataFrame, target: str = "sold_quantity") -> DataFrame:
+    """One row ``auc``: how well the probability ranks rows with a sale above those without; a plan, not yet run."""
+    return auc(raw, "sale_probability", F.col(target) > 0)
 
 
 # --- stored runs --------------------------------------------------------------------------------

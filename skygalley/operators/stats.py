@@ -11,7 +11,7 @@ from skygalley.functions import half_even, ratio
 
 PERCENTILES = (0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
-# Ranges that the distinct values are dealt over; each is numbered by itself.
+# Ranges that the distinct values are dealt over, a power of two; each is numbered by itself.
 RANGES = 256
 
 
@@ -39,43 +39,99 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return out
 
 
-def _percentiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
-    """One row with the array ``q``: exact, interpolated quantiles; null without values.
+def _value_counts(df: DataFrame, columns: Sequence[str], **counts: Column) -> DataFrame:
+    """Rows (c, value, and the counts named) for each distinct value of each column; c is the column's place.
+
+    One scan for all columns: a row is copied per column, but equal values are summed inside each task first.
+    """
+    extra = list(counts)
+    marks = [condition.alias(f"_{e}") for e, condition in counts.items()]
+    rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)], *marks)
+    entries = [
+        F.struct(F.lit(i).alias("c"), F.col(f"_{i}").alias("value"), *[F.col(f"_{e}").alias(e) for e in extra])
+        for i in range(len(columns))
+    ]
+    rows = rows.select(F.inline(F.array(*entries)))
+    sums = [F.count(F.when(F.col(e), F.lit(1))).alias(e) for e in extra]
+    return rows.where("value is not null").groupBy("c", "value").agg(*sums)
+
+
+def _place(borders: Column, value: Column) -> Column:
+    """The number of sorted borders below a value, by halving steps: eight looks at 255 borders."""
+    steps = F.array(*[F.lit(RANGES >> i) for i in range(1, RANGES.bit_length())])
+    return F.reduce(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.element_at(borders, at + step) < value, at + step).otherwise(at),
+    )
+
+
+def _ranked(counts: DataFrame, n: str) -> DataFrame:
+    """Adds ``before``, the sum of ``n`` over smaller values of the same column, and ``total``, its sum over all.
 
-    Values are grouped to (value, count) and dealt over ranges of about equally many distinct values,
-    whose borders come from a sketch of fixed size. Counts are summed up within each range, and once over
-    the ranges, so no task or driver holds all values. The borders only deal; the result is exact.
+    Values are dealt over ranges of about equally many distinct values, whose borders come from a sketch of fixed
+    size. Counts are summed up within each range, and once over the ranges, so no task or driver holds all values.
+    The borders only deal; the result is exact. What is broadcast is bounded by the number of columns: a row of
+    255 borders each, and a row per range.
     """
-    x = F.col(column).cast("double")
-    counts = df.where(x.isNotNull()).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n"))
     inner = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    borders = counts.agg(F.approx_percentile("value", inner, 10 * RANGES)).scalar()
-    # place among the sorted borders: one more than the number of smaller borders
-    place = F.array_position(F.sort_array(F.array_append(borders, F.col("value"))), F.col("value"))
-    dealt = counts.withColumn("range", place)
-    # at most RANGES rows: this window is small by construction
-    sizes = dealt.groupBy("range").agg(F.sum("n").alias("size"))
-    before = F.sum("size").over(Window.orderBy("range")) - F.col("size")
-    sizes = sizes.select("range", before.alias("before"), F.sum("size").over(Window.partitionBy()).alias("total"))
-    inside = F.sum("n").over(Window.partitionBy("range").orderBy("value"))
-    ranked = dealt.withColumn("inside", inside).join(sizes, "range")
-    upto = F.col("before") + F.col("inside")
+    borders = counts.groupBy("c").agg(F.approx_percentile("value", inner, 10 * RANGES).alias("borders"))
+    dealt = counts.join(F.broadcast(borders), "c")
+    dealt = dealt.withColumn("range", _place(F.col("borders"), F.col("value"))).drop("borders")
+    # at most RANGES rows a column: these windows are small by construction
+    sizes = dealt.groupBy("c", "range").agg(F.sum(n).alias("size"))
+    earlier = F.sum("size").over(Window.partitionBy("c").orderBy("range")) - F.col("size")
+    total = F.sum("size").over(Window.partitionBy("c"))
+    sizes = sizes.select("c", "range", earlier.alias("earlier"), total.alias("total"))
+    inside = F.sum(n).over(Window.partitionBy("c", "range").orderBy("value")) - F.col(n)
+    ranked = dealt.withColumn("inside", inside).join(F.broadcast(sizes), ["c", "range"])
+    return ranked.withColumn("before", F.col("earlier") + F.col("inside")).drop("earlier", "inside", "range")
+
+
+def percentiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
+    """One row per column that has values: its place ``c`` and the array ``q`` of exact, interpolated quantiles."""
+    ranked = _ranked(_value_counts(df, columns, n=F.lit(True)), "n")
     picks, values = [], []
     for i, p in enumerate(points):
         at = F.lit(p) * (F.col("total") - 1)
         for end, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
-            hit = (upto - F.col("n") <= rank) & (rank < upto)
+            hit = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
             picks.append(F.max(F.when(hit, F.col("value"))).alias(f"{end}{i}"))
         picks.append(F.max(at - F.floor(at)).alias(f"share{i}"))
         low, high, share = F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"share{i}")
         values.append(low * (1 - share) + high * share)
-    return ranked.agg(*picks).select(F.array(*values).alias("q"))
+    return ranked.groupBy("c").agg(*picks).select("c", F.array(*values).alias("q"))
+
+
+def _by_column(found: DataFrame) -> Column:
+    """The quantiles of all columns as one map, place to array; it has a row per stated column."""
+    return found.agg(F.map_from_entries(F.collect_list(F.struct("c", "q")))).scalar()
+
+
+def _percentiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
+    """One row with the array ``q``; its entries are null without values."""
+    none = F.array(*[F.lit(None).cast("double") for _ in points])
+    return percentiles(df, [column], points).agg(F.coalesce(F.first("q"), none).alias("q"))
+
+
+def auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
+    """One row ``auc``: the share of pairs (positive, other) that the score ranks right, ties counting half.
+
+    Exact over all distinct scores. Rows without a score take no part; null where either kind is missing.
+    """
+    counts = _value_counts(
+        df, [score], pos=F.coalesce(positive, F.lit(False)), neg=~F.coalesce(positive, F.lit(False))
+    )
+    pos, neg, before = (F.col(c).cast("double") for c in ("pos", "neg", "before"))
+    right = F.sum(pos * (before + neg / 2))
+    return _ranked(counts, "neg").agg(ratio(right, F.sum(pos) * F.sum(neg)).alias("auc"))
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles (interpolated) of each numeric column."""
+    quartiles = _by_column(percentiles(df, columns, (0.25, 0.5, 0.75)))
     aggs, entries = [], []
-    for c in columns:
+    for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [
             F.count(c).alias(f"{c}_n"),
@@ -84,7 +140,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(x).alias(f"{c}_min"),
             F.max(x).alias(f"{c}_max"),
         ]
-        quartiles = _percentiles(df, c, (0.25, 0.5, 0.75)).scalar()
+        own = F.try_element_at(F.col("quartiles"), F.lit(i))
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -92,13 +148,13 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.col(f"{c}_mean").alias("mean"),
                 F.col(f"{c}_std").alias("std"),
                 F.col(f"{c}_min").alias("min"),
-                quartiles[0].alias("q25"),
-                quartiles[1].alias("median"),
-                quartiles[2].alias("q75"),
+                own[0].alias("q25"),
+                own[1].alias("median"),
+                own[2].alias("q75"),
                 F.col(f"{c}_max").alias("max"),
             )
         )
-    return _rows(df.agg(*aggs), entries)
+    return _rows(df.agg(*aggs).withColumn("quartiles", quartiles), entries)
 
 
 def skewness(column: str) -> Column:

@@ -292,8 +292,7 @@ def _deep(lab: Lab):
 def _auc(lab: Lab):
     """How well the historical average ranks test rows with a sale above those without."""
     test = folds.test_part(features(lab), lab.forecast.test_weeks).where("hist_avg is not null")
-    auc = ev.roc_auc(test.withColumn("sale_probability", F.col("hist_avg")))
-    return lab.spark.range(1).select(F.round(F.lit(auc), 9).alias("auc"))
+    return ev.roc_auc(test.withColumn("sale_probability", F.col("hist_avg"))).select(F.round("auc", 9).alias("auc"))
 
 
 # Stored runs: the baseline decided at several cut-offs stands for a series of model versions.
