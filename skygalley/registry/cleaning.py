@@ -39,6 +39,31 @@ def _csv(lab: Lab):
     return readers.read_raw(lab.spark, _land_csv(lab, "pax"), "pax")
 
 
+def _land_layouts(lab: Lab) -> str:
+    """The sales in files of three layouts: as stated, in reverse order, and with two personal columns between."""
+
+    def write() -> str:
+        spec = RAW_DATASETS["sales"]
+        sales = lab.tables.fixture("fx_sales")
+        stated = [F.col(name).cast("string").alias(header) for header, name, _ in spec.columns]
+        staff = [F.substring("ticket_id", 2, 3).alias("Staff ID"), F.col("item_reference").alias("Staff Name")]
+        layouts = (stated, stated[::-1], [*stated[5:], *staff, *stated[:5]])
+        folder = f"{lab.root}/layouts"
+        part = F.pmod(F.crc32(F.col("ticket_id").cast("binary")), F.lit(len(layouts)))
+        for i, columns in enumerate(layouts):
+            rows = sales.where(part == i).select(*columns)
+            rows.write.mode("overwrite").csv(f"{folder}/{spec.pattern.rstrip('*')}_{i}", sep=spec.separator, header=True)
+        return folder
+
+    return lab.keep("csv_layouts", write)
+
+
+@query("src_csv_layouts", f"SELECT * REPLACE ({double('item_price', 'sale_amount', 'promotion_discount')}) FROM fx_sales")
+def _csv_layouts(lab: Lab):
+    """All sales, read from many files whose headers differ; personal columns stay behind."""
+    return plain(readers.read_raw(lab.spark, _land_layouts(lab), "sales"))
+
+
 @query("src_csv_comma", "SELECT * FROM fx_schedule")
 def _csv_comma(lab: Lab):
     return readers.read_raw(lab.spark, _land_csv(lab, "schedule"), "schedule")

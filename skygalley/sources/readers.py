@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,31 +14,44 @@ from skygalley.operators.cleaning import drop_columns
 from skygalley.sources.schemas import RAW_DATASETS, SEEDS
 from skygalley.sources.sinks import MONTH, month_key
 
+# Larger than any file, so that a file is one task.
+WHOLE_FILE = 1 << 60
 
-def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files that a path or pattern names, folders one level deep, by their first line; empty files are left out.
 
-    Read through Hadoop's file system, as Spark's own listing is: one line per file comes to the driver.
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task's input; the rest of the file is never asked for."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (header, files): the files that a path or pattern names, by their first line.
+
+    A Spark job over the file list: each file is one task that reads its first lines only, so many files are
+    opened by all executors at once. Empty files and files whose first line is empty are left out.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    pattern = jvm.org.apache.hadoop.fs.Path(path)
-    fs = pattern.getFileSystem(conf)
-    files = []
-    for status in fs.globStatus(pattern) or []:
-        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-        files += [s.getPath() for s in inside if s.isFile() and s.getPath().getName()[0] not in "_."]
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    found: dict[str, list[str]] = {}
-    for file in files:
-        stream = fs.open(file)
-        codec = codecs.getCodec(file)
-        stream = codec.createInputStream(stream) if codec is not None else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        header = reader.readLine()
-        reader.close()
-        if header:
-            found.setdefault(header, []).append(file.toString())
-    return found
+    # Settings of a session of its own: no file is split, none shares a task, rows are handed on one by one.
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(WHOLE_FILE))
+    own.conf.set("spark.sql.files.openCostInBytes", str(WHOLE_FILE))
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = own.read.text(path).select(F.col("value").alias("header"), F.col("_metadata.file_path").alias("file"))
+    first = lines.mapInArrow(_first_row, "header string, file string").where("header <> ''")
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """What the driver needs to plan the read: the names of the files, which Spark lists there anyway."""
+    try:
+        # paths come escaped, as in a URL
+        return {r["header"]: [unquote(f) for f in r["files"]] for r in headers(spark, path).collect()}
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
 
 
 def read_raw(spark: SparkSession, folder: str, dataset: str, fmt: str = "csv") -> DataFrame:

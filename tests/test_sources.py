@@ -1,4 +1,5 @@
 import datetime
+import gzip
 import json
 
 import pytest
@@ -31,6 +32,24 @@ def test_raw_csv_by_header(spark, tmp_path):
     assert not {"9", "N"} & {str(v) for v in rows[0]}
 
 
+def test_headers_come_from_a_job_over_the_files(spark, tmp_path):
+    """One task a file, also for files with blanks and signs in their names, packed files and large ones."""
+    for i in range(40):
+        order = "a,b" if i % 3 else "b,a"
+        (tmp_path / f"raw {i}%20+é.csv").write_text(f"{order}\n" + "1,2\n" * (200_000 if i == 7 else 3))
+    (tmp_path / "raw empty.csv").write_text("")
+    (tmp_path / "raw blank.csv").write_text("\n1,2\n")
+    with gzip.open(tmp_path / "raw packed.csv.gz", "wt") as packed:
+        packed.write("a,b\r\n1,2\r\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = readers._files_by_header(spark, f"{tmp_path}/raw*")
+    assert {h: len(f) for h, f in found.items()} == {"a,b": 27, "b,a": 14}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    total = sum(spark.read.csv(files, header=True).count() for files in found.values())
+    assert total == 39 * 3 + 200_000 + 1
+    assert readers._files_by_header(spark, f"{tmp_path}/none*") == {}
+
+
 def test_missing_header_is_an_error(spark, tmp_path):
     (tmp_path / "pax1.csv").write_text("Flight Number;Class\nXY1;Economy\n")
     with pytest.raises(ValueError, match="missing columns"):
