@@ -13,9 +13,11 @@ from skygalley.functions.dates import (
     is_weekend,
     month_from_date,
     month_name,
+    parse_dates,
     quarter_from_date,
     round_hour_from_time,
     season_from_month,
+    try_dates,
     week_start,
     weekday_name,
     year_from_date,
@@ -54,6 +56,7 @@ __all__ = [
     "non_negative_int",
     "null_if",
     "or_unknown",
+    "parse_dates",
     "pipe_md5",
     "quarter_from_date",
     "ratio",
@@ -61,6 +64,7 @@ __all__ = [
     "season_from_month",
     "surrogate_key",
     "to_time",
+    "try_dates",
     "week_start",
     "weekday_name",
     "year_from_date",

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,18 @@ def date_from_short(text: Column) -> Column:
     return F.concat(F.lit("20"), part[2], F.lit("-"), part[1], F.lit("-"), part[0]).cast("date")
 
 
+def try_dates(text: Column, formats: Sequence[str]) -> Column:
+    """The date by the first of the stated patterns that fits the whole text; null where none does."""
+    return F.coalesce(*[F.try_to_date(text, pattern) for pattern in formats])
+
+
+def parse_dates(text: Column, formats: Sequence[str]) -> Column:
+    """As ``try_dates``, but a text that no pattern fits is an error that names it; a null stays null."""
+    why = F.concat(F.lit(f"no date by {', '.join(formats)}: "), text)
+    refused = F.when(text.isNotNull(), F.raise_error(why).cast("date"))
+    return F.coalesce(try_dates(text, formats), refused)
+
+
 def year_from_date(date: Column) -> Column:
     return F.year(date)
 

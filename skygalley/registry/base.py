@@ -19,6 +19,7 @@ CALENDAR_END = "2027-01-01"
 MODULES = (
     "tables",
     "cleaning",
+    "legacy_staging",
     "relational",
     "scalars",
     "metrics",
