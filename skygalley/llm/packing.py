@@ -2,14 +2,13 @@
 
 Method: exact-complement hashing over length counts. For the longest length left, the gap it leaves is
 looked up among the lengths themselves, the sums of two and the sums of three; a combination that fills the gap exactly
-is used as often as the counts allow. What has no exact complement goes, longest first, into the open sequence with the
-smallest gap that holds it. Only the number of pieces of each length matters, so the plan is made from at most
-``size`` counts whatever the number of documents is, and Spark then places every piece by its rank within its length.
+is used as often as the counts allow. A gap without an exact complement takes the best fit, the longest piece that it
+holds, and what then remains is looked up again. Only the number of pieces of each length matters, so the plan is made
+from at most ``size`` counts whatever the number of documents is, and Spark then places every piece by its rank within its length.
 """
 
 from __future__ import annotations
 
-import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -38,118 +37,95 @@ class _Complements:
     """Pieces left by length, and an index of the sums that one, two and three of them can have.
 
     Pieces only ever get fewer, so an index made earlier says no rightly; a yes is looked up, and when it proves wrong
-    the index is made anew.
+    the index is made anew. Pairs and triples leave ``spare`` pieces of each length alone.
     """
 
-    def __init__(self, left: list[int]):
+    def __init__(self, left: list[int], spare: int):
         self.left = left
+        self.spare = spare
         self._make()
 
     def _make(self) -> None:
-        self.single = np.array(self.left) > 0
+        self.single = np.array(self.left) > self.spare
         self.single[0] = False
         size, one = len(self.left), self.single.astype(np.float32)
         self.pair = np.convolve(one, one)[:size] > 0.5
         self.triple = np.convolve(self.pair.astype(np.float32), one)[:size] > 0.5
 
-    def _pair(self, total: int) -> tuple[int, int] | None:
-        for x in range(total - 1, (total - 1) // 2, -1):
-            if self.left[x] and self.left[total - x] and (2 * x != total or self.left[x] > 1):
-                return x, total - x
+    def _pair(self, total: int, least: int = 1) -> tuple[int, int] | None:
+        """The longest length with its complement, which has ``least`` ids or more."""
+        left, spare = self.left, self.spare
+        for y in range(least, total // 2 + 1):
+            x = total - y
+            if left[x] > spare and left[y] > spare + (x == y):
+                return x, y
         return None
 
-    def find(self, gap: int, most: int) -> tuple[int, ...] | None:
-        """Up to ``most`` lengths whose sum is the gap, longest first; the fewest that do."""
-        if most and self.left[gap]:
+    def find(self, gap: int) -> tuple[int, ...] | None:
+        """Up to three lengths whose sum is the gap, longest first; the fewest that do."""
+        if self.left[gap]:
             return (gap,)
-        if most > 1 and self.pair[gap] and (found := self._pair(gap)):
+        if self.pair[gap] and (found := self._pair(gap)):
             return found
-        if most < 3 or not self.triple[gap]:
+        if not self.triple[gap]:
             return None
-        for a in np.flatnonzero(self.single[1:gap] & self.pair[gap - 1 : 0 : -1])[::-1] + 1:
-            if not self.left[a]:
-                continue
-            self.left[a] -= 1
-            rest = self._pair(gap - int(a))
-            self.left[a] += 1
-            if rest:
-                return tuple(sorted((int(a), *rest), reverse=True))
+        for a in range(1, gap // 3 + 1):
+            if self.left[a] > self.spare and self.pair[gap - a]:
+                self.left[a] -= 1
+                rest = self._pair(gap - a, a)
+                self.left[a] += 1
+                if rest:
+                    return (*rest, a)
         self._make()
         return None
 
+    def largest(self, gap: int) -> int:
+        """The longest length left that the gap holds; 0 for none."""
+        while gap and not self.left[gap]:
+            gap -= 1
+        return gap
+
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, number of such sequences), using each length as often as counted.
 
-    Filling gaps by many short pieces may leave too few of them for later, so complements of up to three, two, one and
-    no pieces are tried, and the plan with the fewest sequences is taken, of equal ones the first.
+    Where lengths are rare, pairs and triples that take the last piece of one cost more than they fill: the plan is made
+    with and without one spare piece of each length, and the one with fewer sequences is taken, of equal ones the first.
     """
-    plans = [_plan(counts, size, most) for most in (3, 2, 1, 0)]
-    return min(plans, key=lambda shapes: sum(n for _, n in shapes))
+    return min((_plan(counts, size, spare) for spare in (0, 1)), key=lambda shapes: sum(n for _, n in shapes))
 
 
-def _plan(counts: dict[int, int], size: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+def _plan(counts: dict[int, int], size: int, spare: int) -> list[tuple[tuple[int, ...], int]]:
+    """Longest piece first. Its gap is filled by an exact complement; where there is none, the best fit, the longest
+    piece that the gap holds, goes in, and the smaller gap is looked up again. The sequence so found is made as often
+    as the counts allow."""
     left = [0] * (size + 1)
     for length, n in counts.items():
         if not 0 < length <= size:
             raise ValueError(f"a piece of {length} does not fit")
         left[length] += n
     out: list[tuple[tuple[int, ...], int]] = []
-    if left[size]:
-        out.append(((size,), left[size]))
-        left[size] = 0
-    rest: list[tuple[int, int]] = []
-    complements = _Complements(left)
-    for longest in range(size - 1, 0, -1):
+    complements = _Complements(left, spare)
+    for longest in range(size, 0, -1):
         while left[longest]:
-            left[longest] -= 1
-            found = complements.find(size - longest, most)
-            left[longest] += 1
-            if not found:
-                rest.append((longest, left[longest]))
-                left[longest] = 0
-                break
-            shape = (longest, *found)
+            shape, gap = [], size
+            fill: tuple[int, ...] | None = (longest,)
+            while fill:
+                for x in fill:
+                    left[x] -= 1
+                    gap -= x
+                shape += fill
+                fill = None
+                if gap:
+                    best = complements.find(gap) or (complements.largest(gap),)
+                    fill = best if best[0] else None
+            for x in shape:
+                left[x] += 1
             times = min(left[x] // shape.count(x) for x in set(shape))
             for x in shape:
                 left[x] -= times
-            out.append((shape, times))
-    return out + _best_fit(rest, size)
-
-
-def _best_fit(rest: list[tuple[int, int]], size: int) -> list[tuple[tuple[int, ...], int]]:
-    """Lengths in descending order, each into the open sequences with the smallest gap that holds it."""
-    gaps: list[int] = []  # ascending; of each gap a list of (lengths, number)
-    open_: dict[int, list[tuple[tuple[int, ...], int]]] = {}
-
-    def put(shape: tuple[int, ...], n: int) -> None:
-        gap = size - sum(shape)
-        if gap not in open_:
-            open_[gap] = []
-            bisect.insort(gaps, gap)
-        open_[gap].append((shape, n))
-
-    for length, n in rest:
-        while n:
-            at = bisect.bisect_left(gaps, length)
-            if at == len(gaps):
-                per = max(1, size // length)
-                if n >= per:
-                    put((length,) * per, n // per)
-                if n % per:
-                    put((length,) * (n % per), 1)
-                break
-            gap = gaps[at]
-            shape, have = open_[gap].pop()
-            if not open_[gap]:
-                del open_[gap]
-                gaps.pop(at)
-            used = min(n, have)
-            if have > used:
-                put(shape, have - used)
-            put((*shape, length), used)
-            n -= used
-    return [x for gap in gaps for x in open_[gap]]
+            out.append((tuple(shape), times))
+    return out
 
 
 class Places:
