@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skygalley.llm.exchange import materialize
-from skygalley.llm.tokens import SPACE_KEPT, encoder, read_json
+from skygalley.llm.tokens import read_json, spaced_encoder
 from skygalley.llm.words import slices
 
 SIZE = 1024
@@ -179,7 +179,7 @@ def pack_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, SPACE_KEPT)
+        enc = spaced_encoder(tokenizer)
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64).tolist()
         for batch in batches:
             for a, b, _, _ in slices(batch.column(1), BATCH_BYTES):

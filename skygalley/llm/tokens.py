@@ -149,6 +149,81 @@ class WordEncoder:
         return out
 
 
+class SpacedEncoder:
+    """As ``UnitEncoder`` where white space is kept: texts split at single spaces, what follows each is remembered.
+
+    A text in which a space stands next to other white space is cut into units as a whole. A piece is cut into units
+    only when it is new. A word of certain letters, with the space before it, goes to the tokenizer's model itself, spelled
+    in its byte characters, if a probe of all those letters shows that the tokenizer does the same.
+    """
+
+    def __init__(self, tokenizer_json: str):
+        self.units = UnitEncoder(tokenizer_json, SPACE_KEPT)
+        self.model = self.units.tokenizer.model
+        letter = byte_characters()
+        sure = re.compile(f"[{_LETTER}]")
+        self.spell = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x250) if sure.match(chr(c))}
+        probe = [f" {chr(c)}a{chr(c)}{chr(c)}B" for c in self.spell]
+        self.spell[0x20] = letter[0x20]
+        self.is_word = re.compile(f"[{_LETTER}]+").fullmatch
+        self.close = re.compile(f"[{_SPACE}] | [{_SPACE}]").search
+        self.words: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}
+        self.direct = [self._word(p) for p in probe] == self.units.encode(probe)
+
+    def _word(self, unit: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(unit.translate(self.spell))]).tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        if len(self.words) > MEMORY_UNITS:
+            self.words.clear()
+        memory, is_word, odd = self.memory, self.is_word, []
+        for piece in pieces:
+            if self.direct and len(piece) <= MEMORY_UNIT_CHARS and is_word(piece):
+                memory[piece] = self._word(f" {piece}")
+            else:
+                odd.append(piece)
+        split = [self.units.find(f" {p}") for p in odd]
+        known, rest = {}, []
+        for unit in set().union(*split):
+            if not (self.direct and len(unit) <= MEMORY_UNIT_CHARS and is_word(unit.removeprefix(" "))):
+                rest.append(unit)
+                continue
+            ids = memory.get(unit[1:]) if unit[0] == " " else None
+            ids = ids or self.words.get(unit)
+            if ids is None:
+                ids = self.words[unit] = self._word(unit)
+            known[unit] = ids
+        known.update(zip(rest, self.units.encode(rest)))
+        for piece, units in zip(odd, split):
+            memory[piece] = b"".join(map(known.__getitem__, units))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """A null text is empty."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), 64):
+            some = texts[at : at + 64]
+            split = [t.split(" ") if t and not self.close(t) else [t or ""] for t in some]
+            known = self.memory
+            if len(known) > MEMORY_PIECES:
+                known.clear()
+            first = self.units.encode([pieces[0] for pieces in split])
+            rest = [pieces[1:] for pieces in split]
+            new = list(set().union(*rest).difference(known))
+            self._learn(new)
+            out += [ids + b"".join(map(known.__getitem__, pieces)) for ids, pieces in zip(first, rest)]
+            for piece in new:
+                if len(piece) > MEMORY_UNIT_CHARS:
+                    del known[piece]
+        return out
+
+
+@lru_cache(maxsize=2)
+def spaced_encoder(tokenizer_json: str) -> SpacedEncoder:
+    """One per Python worker and tokenizer."""
+    return SpacedEncoder(tokenizer_json)
+
+
 @lru_cache(maxsize=2)
 def word_encoder(tokenizer_json: str) -> WordEncoder:
     """One per Python worker and tokenizer."""

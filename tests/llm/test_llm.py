@@ -426,6 +426,22 @@ def test_units_are_encoded_as_whole_texts(real, path, units):
     assert [t for t, g, w in zip(sample, encoder.encode(sample), want) if g != w] == []
 
 
+def test_pieces_after_single_spaces(real, monkeypatch):
+    """Equal to the library on whole texts, also where white space stands together, and with little memory."""
+    whole = library(BYTE_JSON)
+    rng = np.random.default_rng(8)
+    parts = ["a", "Straße", "don't", "x,y", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "é" * 70, "12", "日本", "<|endoftext|>", "ﬁ", "ß"]
+    mixed = ["".join(rng.choice(parts, 30)) for _ in range(300)] + [" ".join(rng.choice(parts, 30)) for _ in range(300)]
+    some = [t for _, t, _, _ in EDGE] + mixed + list(texts(real).values())
+    want = [packed(whole.encode(t or "", add_special_tokens=False).ids) for t in some]
+    enc = tokens.SpacedEncoder(tokens.read_json(BYTE_JSON))
+    assert enc.direct and enc.encode(some) == want
+    monkeypatch.setattr(tokens, "MEMORY_PIECES", 50)
+    monkeypatch.setattr(tokens, "MEMORY_UNITS", 50)
+    enc.direct = False
+    assert enc.encode(some) == want and enc.encode(some) == want
+
+
 def test_words_sent_to_the_model_alone(monkeypatch):
     """Every letter, mixed pieces, odd white space and long pieces, with a memory that overflows, as the library has them."""
     monkeypatch.setattr(tokens, "MEMORY_UNITS", 300)
