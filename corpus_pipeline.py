@@ -39,19 +39,23 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts connected by a similarity of 0.8 of their 5-word shingles, the row with the smallest doc_id.
 
-    Rows are judged one by one: of rows that share that id, one stays, and a row that shares its id with a near copy of
-    another text stays for itself. Rows without doc_id come after all others. Texts without words all stay.
+    Rows are known by a 64-bit hash of doc_id and text, not by a place in files that another job may split otherwise. Of
+    rows that share id and text, one stays (any, where other columns differ); a row that shares its id with a near copy
+    of another text stays for itself. Rows without doc_id come after all others. Texts without words all stay.
     """
-    rows, row = with_row_id(docs)
-    # Written with the numbers: file splits, and so the numbers, may differ between jobs.
-    rows = materialize(rows, "numbered")
-    classes = jaccard.similar_classes(rows, doc_id=row, width=5, similarity=Fraction(8, 10))
-    classes = classes.select(F.col("doc_id").alias("row"), F.col("component_id").alias("class"))
-    ids = rows.select(F.col(row).alias("own"), F.col("doc_id").alias("id"))
-    rank = F.struct(F.col("id").isNull(), "id", "row")
-    kept = classes.join(ids, F.col("row") == F.col("own")).groupBy("class").agg(F.min(rank).alias("first"))
-    kept = kept.select(F.col("first.row").alias(row))
-    return rows.join(kept, row, "left_semi").select(*docs.columns)
+    key = "value_key"
+    while key in docs.columns:
+        key = f"_{key}"
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = jaccard.similar_classes(rows, doc_id=key, width=5, similarity=Fraction(8, 10)).where("n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("class"), F.count("*").alias("copies"))
+    ids = rows.groupBy(key).agg(F.min("doc_id").alias("id"))
+    values = materialize(found.join(ids, key), "values")
+    first = values.groupBy("class").agg(F.min(F.struct(F.col("id").isNull(), "id", key)).alias("first"))
+    judged = values.join(first, "class").withColumn("stays", F.col("first")[key] == F.col(key))
+    judged = materialize(judged.where("not stays or copies > 1").select(key, "stays"), "judged")
+    repeated = rows.join(judged.where("stays"), key, "left_semi").dropDuplicates([key])
+    return rows.join(judged, key, "left_anti").unionByName(repeated).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
