@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -13,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -777,3 +779,17 @@ def test_license_names_of_others(spark):
     }
     df = spark.createDataFrame(rows_of([(i, t, "en", "a") for i, t in enumerate(lines)]), COLUMNS)
     assert {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()} == dict(enumerate(lines.values()))
+
+
+def test_passages_are_offered_in_little_memory():
+    """Arrays over the bytes of a chunk are made slice by slice: a task needs far less than they would take for the whole."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 1 << 30, 2_000)) for _ in range(200)]
+    chunk = pa.table({"doc_id": list(range(len(texts))), "text": texts})
+    substring._offer(0, chunk.slice(0, 100), 10, 1)  # grows the tables of powers
+    tracemalloc.start()
+    try:
+        substring._offer(0, chunk, 10, 1)
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
