@@ -445,3 +445,11 @@ def test_published_rounds_are_the_default(spark):
     published = BoostingConfig(iterations=500, learning_rate=0.05, depth=6, random_seed=42)
     assert cfg.classifier == cfg.regressor == published
     assert models._boosting(models.GBTClassifier, cfg.classifier, "sells").getMaxIter() == 500
+
+
+def test_tasks_of_a_fit():
+    """Few points are dealt by 20,000, many over the cores, very many by 200,000: tasks cost a start per level and tree."""
+    from skygalley.forecast.encoding import fit_tasks
+
+    assert [fit_tasks(n, 12) for n in (0, 1, 20_000, 20_001, 240_000)] == [1, 1, 1, 2, 12]
+    assert [fit_tasks(n, 12) for n in (1_000_000, 2_400_000, 8_000_000)] == [12, 12, 40]
