@@ -213,3 +213,26 @@ def test_stored_months_are_not_shuffled_again(spark, tmp_path):
 def test_stored_tables_are_compressed_well(spark, tmp_path):
     sinks.overwrite(spark.range(3), str(tmp_path / "t"))
     assert list((tmp_path / "t").glob("*.zstd.parquet"))
+
+
+def test_tasks_stay_small_as_tables_grow(spark, tmp_path):
+    """Spark's 128 MB a scan and as few tasks as cores made whole-row distincts spill; what the user set stays."""
+    names = [
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+    ]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        (tmp_path / "lineitem.parquet").write_bytes(bytes(50 * session.INPUT_BYTES + 1))
+        session.small_tasks(spark, str(tmp_path))
+        assert [int(spark.conf.get(n)) for n in names] == [session.SCAN_BYTES, session.SHUFFLE_BYTES, 51]
+        for name in names:
+            spark.conf.set(name, "77")
+        session.small_tasks(spark, str(tmp_path))
+        assert [spark.conf.get(n) for n in names] == ["77", "77", "77"]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

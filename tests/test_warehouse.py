@@ -140,6 +140,33 @@ def test_pax_sales_counts_per_class_unless_corrected(spark):
 # --- generic operators ----------------------------------------------------------------------------
 
 
+def test_loads_meet_sales_without_what_describes_the_flight(spark):
+    """Bridge rows of one flight under two loads, a flight without sales, an item sold on another flight; keys alone are shuffled."""
+    make = spark.createDataFrame
+    bridge = make([("l", "f1", 1), ("l", "f1", 2), ("l", "f2", 1), ("l", "f9", 1)], "line_id string, flight_key string, load_id int")
+    dim = make(
+        [(f, n, "A", "B", 20251102, 9) for f, n in (("f1", "AB1"), ("f2", "AB2"))],
+        "flight_key string, flight_number string, origin string, destination string, date int, hour_of_departure int",
+    )
+    dates = make([(20251102, DAY, "November", 2025, "Sunday", True)], "date_key int, date date, month_name string, year int, weekday_name string, is_weekend boolean")
+    times = make([(9, "morning", False, "AM")], "time_key int, day_period string, is_night boolean, am_pm string")
+    loads = make([(1, "p1", None), (2, "p1", None), (1, "p2", "zero_load_error"), (3, "p1", None)], "load_id int, product_key string, potential_error string")
+    products = make([("p1", "i1", "Fresh Product", "Meals", "Active", 5.0), ("p2", "i2", "Fresh Product", "Meals", "Active", 5.0)], "product_key string, item_id string, item_type string, category string, status string, price double")
+    pax = make([("f1", 10), ("f1", 20)], "flight_key string, number_of_passengers int")
+    sales = make([("f1", "p1", 3), ("f1", "p1", 4), ("f9", "p1", 5)], "flight_key string, product_key string, sold_quantity int")
+    out = warehouse.mart_fresh_food_order_sale(bridge, dim, dates, times, loads, products, pax, sales)
+    got = sorted((r.flight_key, r.item_id, r.sold_quantity, r.number_of_passengers, r.potential_error) for r in out.collect())
+    assert got == [("f1", "i1", 7, 30.0, None), ("f1", "i1", 7, 30.0, None), ("f2", "i1", 0, None, "no_pax_data")]
+    # the join with the sales has nothing of the calendar below it
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line and "product_key" in line)
+    depth = lines[at].index("Join")
+    ends = (i for i in range(at + 1, len(lines)) if len(lines[i]) - len(lines[i].lstrip(" :+-")) <= depth)
+    inner = lines[at + 1 : next(ends, len(lines))]
+    assert inner and not any("weekday_name" in line for line in inner)
+
+
 def test_anti_join_matches_missing_to_missing(spark):
     left = spark.createDataFrame([("a", None), ("b", None), ("a", "x")], "k string, t string")
     right = spark.createDataFrame([("a", None)], "k string, t string")
