@@ -22,7 +22,7 @@ from skygalley.llm.tokens import read_json, word_encoder
 from skygalley.llm.words import mix, slices
 
 # Text of a shard (one file), ids of a block, text encoded at a time.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 BLOCK_IDS = 1 << 19
 BATCH_BYTES = 1 << 20
 

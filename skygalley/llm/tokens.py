@@ -28,10 +28,61 @@ SPACE_KEPT = re.compile(f"[{_SPACE}]*{_RUN}")
 #: White space is dropped.
 SPACE_DROPPED = re.compile(f"(?=[^{_SPACE}]){_RUN}")
 
-# Units and pieces between white space kept in memory by one Python worker, and the longest one that is kept.
-MEMORY_UNITS = 500_000
-MEMORY_PIECES = 750_000
+# Units and pieces between white space that one generation of a worker's memory takes, and the longest one that is kept.
+# An entry takes some 200 bytes, and there are two generations.
+MEMORY_UNITS = 40_000
+MEMORY_PIECES = 80_000
 MEMORY_UNIT_CHARS = 64
+# Slots, by hash, that tell whether a text may have been met before; a byte each.
+MET_SLOTS = 1 << 20
+
+
+class Memory:
+    """Ids by text, of texts met twice and lately.
+
+    Most texts are met once, so one is kept when it is met again. A full generation becomes the old one, and what
+    that had before is forgotten; what is met again moves from the old generation to the young one.
+    """
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.met = bytearray(MET_SLOTS)
+
+    def age(self, entries: int) -> None:
+        if len(self.young) > entries:
+            self.old, self.young = self.young, {}
+            self.met = bytearray(MET_SLOTS)
+
+    def missing(self, wanted: set[str], entries: int) -> list[str]:
+        """What is not known; all else is in the young generation then, which is full at ``entries``."""
+        self.age(entries)
+        old = self.old
+        new = wanted.difference(self.young)
+        back = {text: old[text] for text in new if text in old}
+        self.young.update(back)
+        return list(new.difference(back))
+
+    def get(self, text: str) -> bytes | None:
+        ids = self.young.get(text)
+        if ids is None and (ids := self.old.get(text)) is not None:
+            self.young[text] = ids
+        return ids
+
+    def again(self, text: str) -> bool:
+        """Whether a text may have been met before; it has from now on."""
+        at = hash(text) % MET_SLOTS
+        if self.met[at]:
+            return True
+        self.met[at] = 1
+        return False
+
+    def settle(self, new: list[str]) -> None:
+        """Forget those of the texts just added that are long or were met for the first time."""
+        young, again = self.young, self.again
+        for text in new:
+            if len(text) > MEMORY_UNIT_CHARS or not again(text):
+                del young[text]
 
 
 class UnitEncoder:
@@ -45,7 +96,7 @@ class UnitEncoder:
         # A text that spells a special token is text, not a command.
         self.tokenizer.encode_special_tokens = True
         self.find = units.findall
-        self.memory: dict[str, bytes] = {}
+        self.memory = Memory()
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
@@ -56,17 +107,11 @@ class UnitEncoder:
         out: list[bytes] = []
         for at in range(0, len(texts), 64):
             split = [self.find(t) if t else [] for t in texts[at : at + 64]]
-            known = self.memory
-            if len(known) > MEMORY_UNITS:
-                known.clear()
-            new = list(set().union(*split).difference(known))
-            learned = self._learn([u for u in new if len(u) <= MEMORY_UNIT_CHARS])
-            known.update(learned)
-            long = self._learn([u for u in new if len(u) > MEMORY_UNIT_CHARS])
-            known.update(long)
+            new = self.memory.missing(set().union(*split), MEMORY_UNITS)
+            known = self.memory.young
+            known.update(self._learn(new))
             out += [b"".join(map(known.__getitem__, units)) for units in split]
-            for unit in long:
-                del known[unit]
+            self.memory.settle(new)
         return out
 
 
@@ -86,28 +131,29 @@ class WordEncoder:
             c: "".join(letter[b] for b in chr(c).lower().encode()) for c in range(0x250) if sure.match(chr(c))
         }
         self.is_word = re.compile(f"[{_LETTER}]+").fullmatch
-        self.words: dict[str, bytes] = {}
-        self.memory: dict[str, bytes] = {}
+        self.words = Memory()
+        self.memory = Memory()
         probe = [f"{chr(c)}a{chr(c)}{chr(c)}B" for c in self.spell]
         self.direct = [self._word(p.translate(self.spell)) for p in probe] == self.units.encode(probe)
 
     def _word(self, spelled: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
+    def _known_word(self, spelled: str) -> bytes:
+        ids = self.words.get(spelled)
+        if ids is None:
+            ids = self.words.young[spelled] = self._word(spelled)
+        return ids
+
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.words) > MEMORY_UNITS:
-            self.words.clear()
-        odd = []
+        self.words.age(MEMORY_UNITS)
+        memory, odd = self.memory.young, []
         for piece in pieces:
             if not (self.direct and self.is_word(piece) and len(piece) <= MEMORY_UNIT_CHARS):
                 odd.append(piece)
                 continue
-            spelled = piece.translate(self.spell)
-            ids = self.words.get(spelled)
-            if ids is None:
-                ids = self.words[spelled] = self._word(spelled)
-            self.memory[piece] = ids
-        self.memory.update(zip(odd, self._odd(odd)))
+            memory[piece] = self._known_word(piece.translate(self.spell))
+        memory.update(zip(odd, self._odd(odd)))
 
     def _odd(self, pieces: list[str]) -> list[bytes]:
         """Pieces of several units, of which the words are known or learned like other words."""
@@ -116,11 +162,7 @@ class WordEncoder:
         rest = list(set().union(*split).difference(words))
         known = dict(zip(rest, self.units.encode(rest)))
         for word in words:
-            spelled = word.translate(self.spell)
-            ids = self.words.get(spelled)
-            if ids is None:
-                ids = self.words[spelled] = self._word(spelled)
-            known[word] = ids
+            known[word] = self._known_word(word.translate(self.spell))
         return [b"".join(map(known.__getitem__, units)) for units in split]
 
     @staticmethod
@@ -137,15 +179,11 @@ class WordEncoder:
         out: list[bytes] = []
         for at in range(0, len(texts), 64):
             split = [self._pieces(t) for t in texts[at : at + 64]]
-            known = self.memory
-            if len(known) > MEMORY_PIECES:
-                known.clear()
-            new = set().union(*split).difference(known)
+            new = self.memory.missing(set().union(*split), MEMORY_PIECES)
+            known = self.memory.young
             self._learn(new)
             out += [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-            for piece in new:
-                if len(piece) > MEMORY_UNIT_CHARS:
-                    del known[piece]
+            self.memory.settle(new)
         return out
 
 
@@ -167,17 +205,16 @@ class SpacedEncoder:
         self.spell[0x20] = letter[0x20]
         self.is_word = re.compile(f"[{_LETTER}]+").fullmatch
         self.close = re.compile(f"[{_SPACE}] | [{_SPACE}]").search
-        self.words: dict[str, bytes] = {}
-        self.memory: dict[str, bytes] = {}
+        self.words = Memory()
+        self.memory = Memory()
         self.direct = [self._word(p) for p in probe] == self.units.encode(probe)
 
     def _word(self, unit: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(unit.translate(self.spell))]).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.words) > MEMORY_UNITS:
-            self.words.clear()
-        memory, is_word, odd = self.memory, self.is_word, []
+        self.words.age(MEMORY_UNITS)
+        memory, is_word, odd = self.memory.young, self.is_word, []
         for piece in pieces:
             if self.direct and len(piece) <= MEMORY_UNIT_CHARS and is_word(piece):
                 memory[piece] = self._word(f" {piece}")
@@ -192,7 +229,7 @@ class SpacedEncoder:
             ids = memory.get(unit[1:]) if unit[0] == " " else None
             ids = ids or self.words.get(unit)
             if ids is None:
-                ids = self.words[unit] = self._word(unit)
+                ids = self.words.young[unit] = self._word(unit)
             known[unit] = ids
         known.update(zip(rest, self.units.encode(rest)))
         for piece, units in zip(odd, split):
@@ -204,17 +241,13 @@ class SpacedEncoder:
         for at in range(0, len(texts), 64):
             some = texts[at : at + 64]
             split = [t.split(" ") if t and not self.close(t) else [t or ""] for t in some]
-            known = self.memory
-            if len(known) > MEMORY_PIECES:
-                known.clear()
             first = self.units.encode([pieces[0] for pieces in split])
             rest = [pieces[1:] for pieces in split]
-            new = list(set().union(*rest).difference(known))
+            new = self.memory.missing(set().union(*rest), MEMORY_PIECES)
+            known = self.memory.young
             self._learn(new)
             out += [ids + b"".join(map(known.__getitem__, pieces)) for ids, pieces in zip(first, rest)]
-            for piece in new:
-                if len(piece) > MEMORY_UNIT_CHARS:
-                    del known[piece]
+            self.memory.settle(new)
         return out
 
 

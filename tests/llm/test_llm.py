@@ -444,6 +444,21 @@ def test_pieces_after_single_spaces(real, monkeypatch):
     assert enc.encode(some) == want and enc.encode(some) == want
 
 
+@pytest.mark.parametrize("kind,path", [(tokens.WordEncoder, WORD_JSON), (tokens.SpacedEncoder, BYTE_JSON)])
+def test_memory_of_a_worker_stays_small(kind, path, monkeypatch):
+    """Words met once are not kept; of others no more than two generations, whatever has been encoded."""
+    monkeypatch.setattr(tokens, "MEMORY_UNITS", 100)
+    monkeypatch.setattr(tokens, "MEMORY_PIECES", 100)
+    enc, whole = kind(tokens.read_json(path)), library(path)
+    once = [" ".join(f"q{i}w{j}x" for j in range(50)) for i in range(200)]
+    twice = [" ".join(f"a {chr(97 + i % 26)}z{j}" for j in range(50)) for i in range(200)]
+    want = [packed(whole.encode(t, add_special_tokens=False).ids) for t in once + twice]
+    assert enc.encode(once) + enc.encode(twice) == want
+    # a batch of 64 texts may come on top of a full generation
+    assert len(enc.memory.young) + len(enc.memory.old) < 6000 and "a" in enc.memory.young
+    assert sum(p in enc.memory.young or p in enc.memory.old for t in once for p in t.split()) < 500
+
+
 def test_words_sent_to_the_model_alone(monkeypatch):
     """Every letter, mixed pieces, odd white space and long pieces, with a memory that overflows, as the library has them."""
     monkeypatch.setattr(tokens, "MEMORY_UNITS", 300)
