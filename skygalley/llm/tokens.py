@@ -30,8 +30,8 @@ SPACE_DROPPED = re.compile(f"(?=[^{_SPACE}]){_RUN}")
 
 # Units and pieces between white space that one generation of a worker's memory takes, and the longest one that is kept.
 # An entry takes some 200 bytes, and there are two generations.
-MEMORY_UNITS = 40_000
-MEMORY_PIECES = 80_000
+MEMORY_UNITS = 60_000
+MEMORY_PIECES = 120_000
 MEMORY_UNIT_CHARS = 64
 # Slots, by hash, that tell whether a text may have been met before; a byte each.
 MET_SLOTS = 1 << 20
