@@ -236,3 +236,18 @@ def test_tasks_stay_small_as_tables_grow(spark, tmp_path):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_partitions_follow_the_larger_folder_of_a_session(spark, tmp_path):
+    """The number set for a small folder is no setting of the user: a larger one read later in the session raises it."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(initial, None)
+    try:
+        spark.conf.unset(initial)
+        for name, blocks in (("small", 40), ("large", 90), ("small", 90)):
+            (tmp_path / name).mkdir(exist_ok=True)
+            (tmp_path / name / "t.parquet").write_bytes(bytes({"small": 40, "large": 90}[name] * session.INPUT_BYTES))
+            session.small_tasks(spark, str(tmp_path / name))
+            assert int(spark.conf.get(initial)) == blocks
+    finally:
+        spark.conf.unset(initial) if before is None else spark.conf.set(initial, before)

@@ -238,3 +238,51 @@ def test_unique_counts_missing_parts_only_in_combinations(spark, columns):
     df = spark.createDataFrame([(None, 1), (None, 1), (2, 1)], "a int, b int")
     got = quality.check_rules(lambda _: df, [quality.Unique("t", columns)]).first()
     assert got.failures == (0 if len(columns) == 1 else 1)
+
+
+def _tables(spark, folder):
+    """Orders with lines of fresh and other items; copies of lines and orders, missing keys."""
+    orders = [(k, k % 5, "OFP"[k % 3], 10.5 + k, ("1-URGENT", "5-LOW")[k % 2]) for k in range(60)] + [(3, 3, "O", 13.5, "5-LOW"), (None, 1, "O", 1.0, None)]
+    lines = [
+        (k, None if k == 7 else (k + n) % 6, n, 3.0 + n, 9.25 * n, 0.01 * (n % 2), "NR"[k % 2], "OF"[n % 2]) for k in [*range(60), 999] for n in (1, 2, 7)
+    ]
+    lines += lines[:9] + [(None, 1, 1, 1.0, 1.0, 0.0, "N", "O")]
+    parts = [(p, ("Brand#1", "Brand#12")[p == 2], ("STEEL", "PROMO")[p == 3], 5 if p == 4 else 1, 2.5) for p in range(6)] + [(0, "Brand#1", "STEEL", 1, 2.5)]
+    for name, rows, schema in (
+        ("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+        ("lineitem", lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string"),
+        ("part", parts, "p_partkey long, p_brand string, p_type string, p_size int, p_retailprice double"),
+        ("nation", [(n, f"NATION_{n}", 0) for n in range(25)], "n_nationkey int, n_name string, n_regionkey int"),
+        ("region", [(0, "R")], "r_regionkey int, r_name string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_mart_and_facts_write_no_wide_rows(spark, tmp_path):
+    """The mart takes the facts of fresh items alone, facts and flights take staging unwritten: same rows as from stored tables."""
+    from skygalley.plans.warehouse import STORED_INTERMEDIATE, Warehouse
+    from skygalley.sources.driver_tables import DriverTables
+
+    _tables(spark, str(tmp_path / "in"))
+
+    def made(name):
+        root = tmp_path / name
+        return Warehouse(spark, DriverTables(spark, str(tmp_path / "in"), f"{root}/raw").raw(), root=f"{root}/wh"), root / "wh"
+
+    rows = lambda wh, name: sorted(map(str, wh.ref(name).collect()))
+    stored, _ = made("stored")
+    for name in (*STORED_INTERMEDIATE, "fact_sales", "fact_items_load"):
+        stored.ref(name)
+    staged, _ = made("staged")
+    for name in STORED_INTERMEDIATE:
+        staged.ref(name)
+    lean, folder = made("lean")
+    mart = rows(lean, "mart_fresh_food_order_sale")
+    assert mart == rows(stored, "mart_fresh_food_order_sale") == rows(staged, "mart_fresh_food_order_sale")
+    assert len(mart) > 20 and any("sold_quantity=0" not in r for r in mart)
+    wide = [f"{t}_{d}" for t, d in (("stg", "sales"), ("stg", "items_load"), ("stg", "payments"), ("stg", "wastage"), ("fact", "sales"), ("fact", "items_load"))]
+    assert not [name for name in wide if (folder / name).exists()]
+    assert not any((tmp_path / f"lean/raw/raw/{name}").exists() for name in ("wastage", "payments", "sales", "items_load"))
+    for name in ("fact_sales", "fact_items_load", "fact_payments", "fact_wastage", "int_flights", "dim_sessions", "dim_card"):
+        assert rows(lean, name) == rows(stored, name), name
+    assert not [name for name in wide[:4] if (folder / name).exists()]
