@@ -251,3 +251,22 @@ def test_partitions_follow_the_larger_folder_of_a_session(spark, tmp_path):
             assert int(spark.conf.get(initial)) == blocks
     finally:
         spark.conf.unset(initial) if before is None else spark.conf.set(initial, before)
+
+
+def test_filtered_dimensions_cut_large_scans(spark, tmp_path):
+    """Scans of megabytes are cut by a Bloom filter before a shuffled join with a filtered table; the user's limits stay."""
+    names = [f"spark.sql.optimizer.runtime.bloomFilter.{n}" for n in ("applicationSideScanSizeThreshold", "creationSideThreshold")]
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        session.small_tasks(spark, str(tmp_path))
+        found = [spark.conf.get(n).rstrip("b") for n in names]
+        assert found == [str(session.FILTERED_BYTES), str(session.FILTER_BYTES)]
+        for name in names:
+            spark.conf.set(name, "77")
+        session.small_tasks(spark, str(tmp_path))
+        assert [spark.conf.get(n).rstrip("b") for n in names] == ["77", "77"]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -286,3 +286,17 @@ def test_mart_and_facts_write_no_wide_rows(spark, tmp_path):
     for name in ("fact_sales", "fact_items_load", "fact_payments", "fact_wastage", "int_flights", "dim_sessions", "dim_card"):
         assert rows(lean, name) == rows(stored, name), name
     assert not [name for name in wide[:4] if (folder / name).exists()]
+
+
+def test_fact_and_distinct_share_a_shuffle(spark, tmp_path):
+    """Without a stored staging table, sales and loads are dealt once by what they are summed by."""
+    from skygalley.plans import warehouse as w
+    from skygalley.sources.driver_tables import DriverTables
+
+    _tables(spark, str(tmp_path / "in"))
+    wh = w.Warehouse(spark, DriverTables(spark, str(tmp_path / "in"), str(tmp_path / "raw")).raw(), root=str(tmp_path / "wh"))
+    for name, staged, keys in (("fact_sales", "stg_sales", w.SALE), ("fact_items_load", "stg_items_load", w.LOAD)):
+        dealt, plain = wh.seen(staged, keys), wh.seen(staged)
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect())) and plain.count() > 20
+        shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert (shuffles(dealt.groupBy(*keys).count()), shuffles(plain.groupBy(*keys).count())) == (1, 2), name
