@@ -11,6 +11,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 # Unicode's White_Space, which both regular-expression libraries mean by \s; Python's \s holds more.
@@ -18,9 +19,11 @@ _SPACE = r"\t-\r " + "".join(
     f"\\u{c:04x}"
     for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 )
+_OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c != " " and re.match(f"[{_SPACE}]", c)]
 # Characters that are letters for certain, also in lower case (not U+0130), and ASCII that is neither letter nor space.
 _LETTER = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 _OTHER = r"!-@\[-`{-~"
+_MARKS = "".join(c for c in map(chr, range(0x80)) if re.match(f"[{_OTHER}]", c))
 # A run up to a space, or up to a letter that something else follows; the rest of the run is a unit of its own.
 _RUN = f"[{_OTHER}]*[^{_SPACE}{_OTHER}]*(?:(?<![{_LETTER}])[{_OTHER}]+[^{_SPACE}{_OTHER}]*)*"
 #: White space joins the word after it (byte-level tokenizers).
@@ -31,7 +34,7 @@ SPACE_DROPPED = re.compile(f"(?=[^{_SPACE}]){_RUN}")
 # Units and pieces between white space that one generation of a worker's memory takes, and the longest one that is kept.
 # An entry takes some 200 bytes, and there are two generations.
 MEMORY_UNITS = 60_000
-MEMORY_PIECES = 120_000
+MEMORY_PIECES = 180_000
 MEMORY_UNIT_CHARS = 64
 # Slots, by hash, that tell whether a text may have been met before; a byte each.
 MET_SLOTS = 1 << 20
@@ -115,55 +118,139 @@ class UnitEncoder:
         return out
 
 
-class WordEncoder:
-    """As ``UnitEncoder`` where white space is dropped: texts split at white space, what stands between is remembered.
+class Pieces(dict):
+    """Ids by piece, of pieces met twice and lately: the young generation, so that a known piece costs one look.
 
-    A piece is cut into units only when it is new. A unit of certain letters goes to the tokenizer's model itself, in lower case
-    and spelled in its byte characters, if a probe of all those letters shows that the tokenizer does the same.
+    What it lacks comes from the old generation or is learned at once by ``learn``; where that gives None, the piece is put off
+    to be learned with others, and stands in ``late`` for each time it was asked for.
     """
 
-    def __init__(self, tokenizer_json: str):
-        self.units = UnitEncoder(tokenizer_json, SPACE_DROPPED)
+    def __init__(self, learn: Callable[[str], bytes | None]):
+        super().__init__()
+        self.learn = learn
+        self.late: list[str] = []
+        self.forget()
+
+    @property
+    def young(self) -> dict[str, bytes]:
+        return self
+
+    def forget(self) -> None:
+        """The generation becomes the old one, and what that had is gone."""
+        self.old: dict[str, bytes] = dict(self)
+        self.met = bytearray(MET_SLOTS)
+        self.clear()
+
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self.old.get(piece)
+        if ids is not None:
+            self.keep(piece, ids)
+        elif (ids := self.learn(piece)) is None:
+            self.late.append(piece)
+        else:
+            self.offer(piece, ids)
+        return ids
+
+    def offer(self, piece: str, ids: bytes) -> None:
+        """Keep a piece that is not long and may have been met before; it has from now on."""
+        at = hash(piece) % MET_SLOTS
+        if not self.met[at]:
+            self.met[at] = 1
+        elif len(piece) <= MEMORY_UNIT_CHARS:
+            self.keep(piece, ids)
+
+    def keep(self, piece: str, ids: bytes) -> None:
+        if len(self) >= MEMORY_PIECES:
+            self.forget()
+        self[piece] = ids
+
+
+class PieceEncoder:
+    """As ``UnitEncoder``, with what stands between white space (pieces) remembered; a piece is cut into units only when it is new.
+
+    A word of certain letters goes to the tokenizer's model itself, spelled in its byte characters with ``lead`` before it, if a
+    probe of all those letters shows that the tokenizer does the same. Marks that end a piece after such a word are a unit of
+    their own.
+    """
+
+    def __init__(self, tokenizer_json: str, units: re.Pattern, lead: str, lower: bool):
+        self.units = UnitEncoder(tokenizer_json, units)
         self.model = self.units.tokenizer.model
         letter = byte_characters()
         sure = re.compile(f"[{_LETTER}]")
+        self.lower, self.lead, self.spelled_lead = lower, lead, "".join(letter[b] for b in lead.encode())
         self.spell = {
-            c: "".join(letter[b] for b in chr(c).lower().encode()) for c in range(0x250) if sure.match(chr(c))
+            c: "".join(letter[b] for b in (chr(c).lower() if lower else chr(c)).encode())
+            for c in range(0x250)
+            if sure.match(chr(c))
         }
         self.is_word = re.compile(f"[{_LETTER}]+").fullmatch
         self.words = Memory()
-        self.memory = Memory()
+        self.marks = Pieces(lambda marks: self.units.encode([marks])[0])
+        self.memory = Pieces(self._learn)
         probe = [f"{chr(c)}a{chr(c)}{chr(c)}B" for c in self.spell]
-        self.direct = [self._word(p.translate(self.spell)) for p in probe] == self.units.encode(probe)
+        self.direct = [self._word(self._spelled(p)) for p in probe] == self.units.encode([lead + p for p in probe])
+
+    def _spelled(self, word: str) -> str:
+        if word.isascii():
+            return self.spelled_lead + (word.lower() if self.lower else word)
+        return self.spelled_lead + word.translate(self.spell)
 
     def _word(self, spelled: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _known_word(self, spelled: str) -> bytes:
+    def _known_word(self, word: str) -> bytes | None:
+        """None for what is no word of certain letters, or a long one."""
+        sure = word.isalpha() if word.isascii() else self.is_word(word)
+        if not (sure and self.direct and len(word) <= MEMORY_UNIT_CHARS):
+            return None
+        spelled = self._spelled(word)
         ids = self.words.get(spelled)
         if ids is None:
+            self.words.age(MEMORY_UNITS)
             ids = self.words.young[spelled] = self._word(spelled)
         return ids
 
-    def _learn(self, pieces: list[str]) -> None:
-        self.words.age(MEMORY_UNITS)
-        memory, odd = self.memory.young, []
-        for piece in pieces:
-            if not (self.direct and self.is_word(piece) and len(piece) <= MEMORY_UNIT_CHARS):
-                odd.append(piece)
-                continue
-            memory[piece] = self._known_word(piece.translate(self.spell))
-        memory.update(zip(odd, self._odd(odd)))
-
-    def _odd(self, pieces: list[str]) -> list[bytes]:
-        """Pieces of several units, of which the words are known or learned like other words."""
-        split = [self.units.find(p) for p in pieces]
-        words = {u for units in split for u in units if self.direct and self.is_word(u) and len(u) <= MEMORY_UNIT_CHARS}
-        rest = list(set().union(*split).difference(words))
-        known = dict(zip(rest, self.units.encode(rest)))
-        for word in words:
-            known[word] = self._known_word(word.translate(self.spell))
-        return [b"".join(map(known.__getitem__, units)) for units in split]
+    def _learn(self, piece: str) -> bytes | None:
+        ids = self._known_word(piece)
+        if ids is None and (word := piece.rstrip(_MARKS)) != piece and (ids := self._known_word(word)) is not None:
+            ids += self.marks[piece[len(word) :]]
+        return ids
+
+    def _odd(self, pieces: list[str]) -> dict[str, bytes]:
+        """Pieces of several units, of which the words after ``lead`` are known or learned like other words."""
+        lead, split = self.lead, [self.units.find(self.lead + p) for p in pieces]
+        known = {
+            unit: self._known_word(unit.removeprefix(lead)) if unit.startswith(lead) else None
+            for unit in set().union(*split)
+        }
+        rest = [unit for unit, ids in known.items() if ids is None]
+        known.update(zip(rest, self.units.encode(rest)))
+        return {p: b"".join(map(known.__getitem__, units)) for p, units in zip(pieces, split)}
+
+    def _joined(self, split: list[list[str]]) -> list[bytes]:
+        """The ids of some texts, given as their pieces."""
+        memory, found, odd = self.memory, [], []
+        for at, pieces in enumerate(split):
+            before = len(memory.late)
+            found.append(list(map(memory.__getitem__, pieces)))
+            if len(memory.late) > before:
+                odd.append(at)
+        if odd:
+            late = self._odd(list(set(memory.late)))
+            memory.late.clear()
+            for at in odd:
+                found[at] = [late[p] if ids is None else ids for p, ids in zip(split[at], found[at])]
+            for piece, ids in late.items():
+                memory.offer(piece, ids)
+        return [b"".join(ids) for ids in found]
+
+
+class WordEncoder(PieceEncoder):
+    """For tokenizers that drop white space and lower the case: texts split at white space."""
+
+    def __init__(self, tokenizer_json: str):
+        super().__init__(tokenizer_json, SPACE_DROPPED, lead="", lower=True)
 
     @staticmethod
     def _pieces(text: str | None) -> list[str]:
@@ -178,62 +265,23 @@ class WordEncoder:
         """A null text is empty."""
         out: list[bytes] = []
         for at in range(0, len(texts), 64):
-            split = [self._pieces(t) for t in texts[at : at + 64]]
-            new = self.memory.missing(set().union(*split), MEMORY_PIECES)
-            known = self.memory.young
-            self._learn(new)
-            out += [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-            self.memory.settle(new)
+            out += self._joined([self._pieces(t) for t in texts[at : at + 64]])
         return out
 
 
-class SpacedEncoder:
-    """As ``UnitEncoder`` where white space is kept: texts split at single spaces, what follows each is remembered.
+class SpacedEncoder(PieceEncoder):
+    """For tokenizers that keep white space: texts split at single spaces, and what follows each is a piece.
 
-    A text in which a space stands next to other white space is cut into units as a whole. A piece is cut into units
-    only when it is new. A word of certain letters, with the space before it, goes to the tokenizer's model itself, spelled
-    in its byte characters, if a probe of all those letters shows that the tokenizer does the same.
+    A text in which a space stands next to other white space is cut into units as a whole.
     """
 
     def __init__(self, tokenizer_json: str):
-        self.units = UnitEncoder(tokenizer_json, SPACE_KEPT)
-        self.model = self.units.tokenizer.model
-        letter = byte_characters()
-        sure = re.compile(f"[{_LETTER}]")
-        self.spell = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x250) if sure.match(chr(c))}
-        probe = [f" {chr(c)}a{chr(c)}{chr(c)}B" for c in self.spell]
-        self.spell[0x20] = letter[0x20]
-        self.is_word = re.compile(f"[{_LETTER}]+").fullmatch
-        self.close = re.compile(f"[{_SPACE}] | [{_SPACE}]").search
-        self.words = Memory()
-        self.memory = Memory()
-        self.direct = [self._word(p) for p in probe] == self.units.encode(probe)
-
-    def _word(self, unit: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(unit.translate(self.spell))]).tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        self.words.age(MEMORY_UNITS)
-        memory, is_word, odd = self.memory.young, self.is_word, []
-        for piece in pieces:
-            if self.direct and len(piece) <= MEMORY_UNIT_CHARS and is_word(piece):
-                memory[piece] = self._word(f" {piece}")
-            else:
-                odd.append(piece)
-        split = [self.units.find(f" {p}") for p in odd]
-        known, rest = {}, []
-        for unit in set().union(*split):
-            if not (self.direct and len(unit) <= MEMORY_UNIT_CHARS and is_word(unit.removeprefix(" "))):
-                rest.append(unit)
-                continue
-            ids = memory.get(unit[1:]) if unit[0] == " " else None
-            ids = ids or self.words.get(unit)
-            if ids is None:
-                ids = self.words.young[unit] = self._word(unit)
-            known[unit] = ids
-        known.update(zip(rest, self.units.encode(rest)))
-        for piece, units in zip(odd, split):
-            memory[piece] = b"".join(map(known.__getitem__, units))
+        super().__init__(tokenizer_json, SPACE_KEPT, lead=" ", lower=False)
+
+    @staticmethod
+    def close(text: str) -> bool:
+        """Whether a space stands next to white space; looked up as strings, which takes a quarter of a pattern's time."""
+        return "  " in text or any(c in text and (f" {c}" in text or f"{c} " in text) for c in _OTHER_SPACES)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """A null text is empty."""
@@ -242,12 +290,7 @@ class SpacedEncoder:
             some = texts[at : at + 64]
             split = [t.split(" ") if t and not self.close(t) else [t or ""] for t in some]
             first = self.units.encode([pieces[0] for pieces in split])
-            rest = [pieces[1:] for pieces in split]
-            new = self.memory.missing(set().union(*rest), MEMORY_PIECES)
-            known = self.memory.young
-            self._learn(new)
-            out += [ids + b"".join(map(known.__getitem__, pieces)) for ids, pieces in zip(first, rest)]
-            self.memory.settle(new)
+            out += [ids + more for ids, more in zip(first, self._joined([pieces[1:] for pieces in split]))]
         return out
 
 

@@ -808,3 +808,20 @@ def test_passages_are_offered_in_little_memory():
         assert tracemalloc.get_traced_memory()[1] < 40 << 20
     finally:
         tracemalloc.stop()
+
+
+@pytest.mark.parametrize("kind,path", [(tokens.WordEncoder, WORD_JSON), (tokens.SpacedEncoder, BYTE_JSON)])
+def test_marks_after_a_word_are_learned_once(kind, path, monkeypatch):
+    """Words that marks end are not cut by the pattern: each word and each run of marks is learned by itself."""
+    whole = library(path)
+    words = ["then", "Straße", "QUELLE", "é", "x" * 70]
+    marks = [".", ",", "&&&", ".%%%", "!!", "'", "'s", "''", "-", "_", ")", ".5", "\x1f.", "…"]
+    some = [f"{w}{m} a {w}{m} ({w}{m}\n{w}{m}" for w in words for m in marks] + [".", " . ", "a.", ""]
+    enc = kind(tokens.read_json(path))
+    want = [packed(whole.encode(t, add_special_tokens=False).ids) for t in some]
+    assert enc.encode(some) == want and enc.encode(some[::-1]) == want[::-1]
+    cut = []
+    find = enc.units.find
+    monkeypatch.setattr(enc.units, "find", lambda text: cut.append(text) or find(text))
+    enc.encode([f"a {w}&&&" for w in ("one", "two", "three")] * 50)
+    assert set(cut) <= {"a", "&&&"}
