@@ -71,8 +71,14 @@ def _csv_comma(lab: Lab):
 
 @query("src_parquet", "SELECT * FROM fx_wastage")
 def _parquet(lab: Lab):
-    lab.tables.fixture("fx_wastage")
-    return readers.read_parquet(lab.spark, f"{lab.root}/raw/wastage")
+    """All wastage, landed as an extract and read back."""
+
+    def write() -> str:
+        path = f"{lab.root}/extracts/wastage"
+        sinks.overwrite(lab.tables.fixture("fx_wastage"), path)
+        return path
+
+    return readers.read_parquet(lab.spark, lab.keep("parquet_wastage", write))
 
 
 @query(

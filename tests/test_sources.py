@@ -165,6 +165,28 @@ def test_rows_without_a_key_do_not_meet(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_wastage_is_read_back_from_parquet(spark, tmp_path):
+    """``src_parquet`` lands what it reads: no other query writes that dataset."""
+    from skygalley.registry import queries
+    from skygalley.sources.driver_tables import DriverTables
+
+    orders = [(k, 7, "O", 10.5, "1-URGENT") for k in (1, 2, 2)]
+    lines = [(k, 4, n, 3.0, 9.25, 0.1, f, "O") for k in (1, 2, None) for n, f in ((1, "N"), (2, "N"), (3, "R"))]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_returnflag string, l_linestatus string",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = DriverTables(spark, str(tmp_path)).fixture("fx_wastage")
+    for _ in range(2):
+        got = queries()["src_parquet"](spark, str(tmp_path))
+        assert got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 6
+
+
 def test_lines_are_joined_once(spark, tmp_path):
     """Three datasets are projections of one landed join; copies and missing keys count as in a join of their own."""
     from skygalley.sources.driver_tables import DriverTables
