@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from skygalley.config import BoostingConfig, ForecastConfig
 from skygalley.errors import ValidationError
 from skygalley.forecast import evaluation as ev
-from skygalley.forecast import encoding, folds, models, neighbours, preparation, scoring
+from skygalley.forecast import encoding, folds, models, neighbours, preparation, rounds, scoring
 from skygalley.forecast.run import run_forecast
+from skygalley.operators import joins
 
 CFG = ForecastConfig()
 D0 = datetime.date(2025, 11, 1)
@@ -453,3 +454,90 @@ def test_tasks_of_a_fit():
 
     assert [fit_tasks(n, 12) for n in (0, 1, 20_000, 20_001, 240_000)] == [1, 1, 1, 2, 12]
     assert [fit_tasks(n, 12) for n in (1_000_000, 2_400_000, 8_000_000)] == [12, 12, 40]
+
+
+def many_averages(spark, n=3000):
+    """As many averages as rows, so that hardly two rows are one point."""
+    rng = random.Random(3)
+    rows = [
+        (rng.choice("abc"), f"r{k % 5}" if k % 9 else None, "Day", "<100", k / n if k % 13 else None,
+         int(rng.random() * 3 * (0.2 + k / n)), D0 + datetime.timedelta(days=rng.randrange(60)))
+        for k in range(n)
+    ]
+    return spark.createDataFrame(rows, FEATURES)
+
+
+def test_fits_pass_over_cells_not_points(spark, monkeypatch):
+    """What a fit is given does not grow with the points, and stands for all of them."""
+    given = []
+    for kind in (models.GBTClassifier, models.GBTRegressor):
+        fit = kind.fit
+        monkeypatch.setattr(kind, "fit", lambda self, df, fit=fit: given.append(df) or fit(self, df))
+    cfg = dataclasses.replace(CFG, **dict.fromkeys(("classifier", "regressor"), BoostingConfig(iterations=3, depth=2, early_stop_patience=2)))
+    rows = many_averages(spark)
+    models.fit_classifier(rows, cfg), models.fit_regressor(rows, cfg)
+    most = 3 * 6 * 32
+    assert [df.agg(F.sum("weight")).first()[0] for df in given] == [3000, rows.where("sold_quantity > 0").count()]
+    assert given[0].count() <= 2 * most < 2500 and given[1].count() <= 2 * most
+
+
+def test_trees_over_bins_are_trees_over_values(spark, tmp_path):
+    """Thresholds are Spark's own, so are the predictions; a value at a threshold lies below it, what is no number above all."""
+    cfg = dataclasses.replace(CFG, classifier=BoostingConfig(iterations=4, depth=3, early_stop_weeks=None))
+    rows = many_averages(spark)
+    model = models.fit_classifier(rows, cfg)
+    sells = rows.withColumn("sells", (F.col("sold_quantity") > 0).cast("double"))
+    points = models.held_back_points(sells, cfg, "sells", None)
+    encoded = encoding.encode_points(points, model.means, cfg, ["sells", "weight"])
+    plain = models._boosting(models.GBTClassifier, cfg.classifier, "sells").fit(encoded)
+    asked = rows.select(*encoding.feature_columns(cfg)).distinct()
+    wanted = plain.transform(encoding.with_vector(asked, model.means, cfg))
+    wanted = wanted.select(*asked.columns, models.vector_to_array("probability")[1].alias("p"))
+    got = models.sale_probabilities(asked, model, cfg)
+    pairs = joins.join_null_safe(got, wanted, asked.columns)
+    assert pairs.count() == asked.count() > 2500
+    assert pairs.agg(F.max(F.abs(F.col("p") - F.col("sale_probability")))).first()[0] < 1e-12
+    bins = encoding.Bins(((), (), (), (), (0.0, 1.5)))
+    at = spark.createDataFrame([(v,) for v in (-1.0, -0.0, 0.0, 0.1, 1.5, 1.6, float("nan"))], "v double")
+    assert [r.b for r in bins.add(at, cfg, {"hist_avg": ("v", "b")}).collect()] == [0, 0, 0, 1, 1, 2, 2]
+    bins.save(spark, str(tmp_path))
+    assert encoding.Bins.load(spark, str(tmp_path)) == bins
+
+
+@pytest.mark.parametrize("label", ["sells", "quantity"])
+def test_losses_of_rounds_are_those_of_a_fit(spark, label):
+    """One task over added-up cells finds the losses that Spark's fit has after each round."""
+    kind = {"sells": models.GBTClassifier, "quantity": models.GBTRegressor}[label]
+    setting = BoostingConfig(iterations=6, learning_rate=0.3, depth=3)
+    rows = many_averages(spark).withColumn("sells", (F.col("sold_quantity") > 0).cast("double"))
+    rows = rows.withColumn("quantity", F.col("sold_quantity").cast("double"))
+    points = models.held_back_points(rows, CFG, label, 2)
+    early, late, sums = models.held_back_cells(points, CFG, kind, setting, label)
+    plan = rounds.losses_by_round(
+        sums, encoding.bin_columns(CFG), 0, label == "sells", 0.3, 3, lambda found: len(found) == 6
+    )
+    got = [r.loss for r in sorted(plan.collect())]
+    early, late = (encoding.fit_cells(part.drop("held_back"), CFG, label) for part in (early, late))
+    trees = models._over_cells(models._boosting(kind, setting, label), early).fit(early)
+    wanted = trees.evaluateEachIteration(late, *([] if label == "sells" else ["squared"]))
+    assert len(got) == 6 and all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(got, wanted))
+
+
+def test_cells_that_no_task_holds_are_fitted_by_spark(spark, monkeypatch):
+    rows = many_averages(spark, 600)
+    cfg = dataclasses.replace(CFG, classifier=BoostingConfig(learning_rate=0.4, depth=2, early_stop_patience=2))
+    grid = [BoostingConfig(iterations=n, learning_rate=0.4, depth=2) for n in (1, 3)]
+
+    def found():
+        losses = {r.iterations: r.log_loss for r in models.tune(rows, CFG, grid).collect()}
+        return models.fit_classifier(rows, cfg).trees.getNumTrees, losses
+
+    (in_tasks, losses), _ = found(), monkeypatch.setattr(rounds, "MOST_TASK_CELLS", 0)
+    by_spark, others = found()
+    assert in_tasks == by_spark and sorted(losses) == sorted(others) == [1, 3]
+    assert all(math.isclose(losses[n], others[n], rel_tol=1e-9) for n in losses)
+
+
+@pytest.mark.parametrize("losses, ends", [([3, 2, 1], False), ([1, 2, 3], True), ([1, 2, 3, 4], False), ([3, 1, 2, 3, 4, 5], True)])
+def test_searches_look_back_at_doubled_rounds(losses, ends):
+    assert models._search_ends(losses, 500, 2) is ends and models._search_ends(losses, len(losses), 2)
