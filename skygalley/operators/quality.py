@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -128,10 +129,31 @@ def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*entries)))
 
 
+# Types that text tells apart exactly as equality does.
+_TEXT_LIKE = (T.StringType, T.IntegralType, T.DecimalType, T.DateType, T.BooleanType)
+
+
+def _short_key(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """What to group a combination by: the 16 bytes of an md5, as the surrogate keys of the tables are, over its lengths and
+    values; a missing part is a value of its own. Short numbers alone, and types that text does not tell apart, stay as they are.
+    """
+    types = [df.schema[c].dataType for c in columns]
+    if not any(isinstance(t, T.StringType) for t in types) or not all(isinstance(t, _TEXT_LIKE) for t in types):
+        return [F.col(c) for c in columns]
+    parts = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return [F.unhex(F.md5(F.concat(*parts).cast("binary"))).alias("_key")]
+
+
 def _unique(df: DataFrame, rule: Unique) -> DataFrame:
     if rule.single:
         df = df.where(F.col(rule.columns[0]).isNotNull())
-    copies = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        keys = [F.col(rule.columns[0])]
+    else:
+        keys = _short_key(df, rule.columns)
+    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return _report(copies.agg(F.count(F.lit(1)).alias("failures")), rule)
 
 

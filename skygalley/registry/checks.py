@@ -66,7 +66,6 @@ def _sql(chosen: Sequence[Rule], prefix: str = "") -> str:
 for _name, _rules in (
     ("dq_not_null", rules.NOT_NULL),
     ("dq_unique", rules.UNIQUE),
-    ("dq_unique_combo", rules.UNIQUE_TOGETHER),
     ("dq_relationship", rules.RELATIONSHIPS),
     ("dq_accepted", rules.ACCEPTED),
     ("dq_expression", rules.EXPRESSIONS),
@@ -74,6 +73,11 @@ for _name, _rules in (
 ):
     register(_name, lambda lab, r=_rules: check_rules(lab.wh.ref, r), _sql(_rules))
 
+register(
+    "dq_unique_combo",
+    lambda lab: check_rules(lab.wh.once, rules.UNIQUE_TOGETHER),
+    _sql(rules.UNIQUE_TOGETHER),
+)
 register(
     "dq_legacy_pk_fk",
     lambda lab: check_rules(lab.legacy.ref, rules.LEGACY),
