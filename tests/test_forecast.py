@@ -541,3 +541,32 @@ def test_cells_that_no_task_holds_are_fitted_by_spark(spark, monkeypatch):
 @pytest.mark.parametrize("losses, ends", [([3, 2, 1], False), ([1, 2, 3], True), ([1, 2, 3, 4], False), ([3, 1, 2, 3, 4, 5], True)])
 def test_searches_look_back_at_doubled_rounds(losses, ends):
     assert models._search_ends(losses, 500, 2) is ends and models._search_ends(losses, len(losses), 2)
+
+
+def test_products_and_contexts_are_encoded_before_they_are_paired(spark, monkeypatch):
+    """The table holds what scoring each pair by itself gives, missing routes and unknown products too."""
+    setting = BoostingConfig(iterations=3, learning_rate=0.5, depth=3, early_stop_weeks=None)
+    cfg = dataclasses.replace(CFG, classifier=setting, regressor=setting)
+    rows = learnable(spark)
+    model = models.TwoStageModel(models.fit_classifier(rows, cfg), models.fit_regressor(rows, cfg))
+    requests = spark.createDataFrame(
+        [(f"q{k}", f"r{k % 4}" if k % 5 else None, ("Day", "Night", None)[k % 3], 70.0 * (k % 4)) for k in range(60)],
+        "request_id string, route string, day_period string, expected_pax double",
+    )
+    products = spark.createDataFrame([(i, "Fresh", "x") for i in ("a", "b", "new")], "item_id string, category string, other string")
+    lookup = spark.createDataFrame(
+        [(i, f"r{r}", "Day", float(r)) for i in "ab" for r in range(3)] + [("a", None, "Day", 9.0)],
+        "item_id string, route string, day_period string, hist_avg double",
+    )
+    points = scoring.point_inputs(requests, products, lookup, cfg)
+    wanted = models.decide(models.score_points(points, model, cfg), 0.4)
+    names = [*scoring.CONTEXT, "item_id", "category", "hist_avg"]
+    wanted = sorted(map(str, wanted.select(*names, F.col("predicted").alias("predicted_quantity")).collect()))
+    given, join = [], encoding.CategoryMeans.join
+    monkeypatch.setattr(
+        encoding.CategoryMeans, "join", lambda self, df, names: given.append((len(names), df.count())) or join(self, df, names)
+    )
+    got = scoring.score_table(requests, products, lookup, model, "low_missed_sales", cfg)
+    assert sorted(map(str, got.collect())) == wanted and len(wanted) > 60
+    most = max(3, scoring.contexts(requests, cfg).count())
+    assert all(n <= most for names, n in given if names) and most < len(wanted)
